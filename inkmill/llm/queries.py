@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.llm import bpe, langmix, mainblock, positional, secrets, simhash, transport, warc
+from inkmill.llm import bpe, langmix, mainblock, positional, secrets, simhash, toxicity, transport, warc
 
 #: Path of the vocabulary; another file of the same format can be named here.
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -49,6 +49,13 @@ def op5_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(_read(spark, sf_dir, "pages"), "page_id", "url", "html")
 
 
+def op6_toxicity_deobfuscated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    scorer = toxicity.train(docs, "doc_id", "text", _read(spark, sf_dir, "labels"), "doc_id", "toxic")
+    found = toxicity.predict(docs, "doc_id", "text", scorer)
+    return found.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langmix.identify(_read(spark, sf_dir, "documents"), "doc_id", "text", "lang")
     return found.select("doc_id", langmix.held_out("doc_id").alias("held_out"), "lang_pred", "score", "languages")
@@ -68,6 +75,6 @@ def op10_main_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mainblock.extract(_read(spark, sf_dir, "pages"), "page_id", "url", "html")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_ownership, op2_transport_streams, op4_byte_bpe, op5_warc_index, op7_language_mixture, op8_simhash, op9_positional_decontamination, op10_main_block)}
+QUERIES = {f.__name__: f for f in (op1_secret_ownership, op2_transport_streams, op4_byte_bpe, op5_warc_index, op6_toxicity_deobfuscated, op7_language_mixture, op8_simhash, op9_positional_decontamination, op10_main_block)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.llm import bpe, langmix, mainblock, positional, secrets, simhash, toxicity, transport, warc
+from inkmill.llm import bpe, langmix, mainblock, paragraphs, positional, secrets, simhash, toxicity, transport, warc
 
 #: Path of the vocabulary; another file of the same format can be named here.
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -41,6 +41,11 @@ def op2_transport_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transport.read_streams(media, "doc_id").drop("stamps", "random_access", "continuity_errors")
 
 
+def op3_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with a repeated paragraph or passage, its class and the word ranges to remove."""
+    return paragraphs.repeated(_read(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_read(spark, sf_dir, "documents"), "doc_id", "text", VOCABULARY, public_tokenizers.PATTERN)
 
@@ -75,6 +80,6 @@ def op10_main_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mainblock.extract(_read(spark, sf_dir, "pages"), "page_id", "url", "html")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_ownership, op2_transport_streams, op4_byte_bpe, op5_warc_index, op6_toxicity_deobfuscated, op7_language_mixture, op8_simhash, op9_positional_decontamination, op10_main_block)}
+QUERIES = {f.__name__: f for f in (op1_secret_ownership, op2_transport_streams, op3_paragraph_minhash, op4_byte_bpe, op5_warc_index, op6_toxicity_deobfuscated, op7_language_mixture, op8_simhash, op9_positional_decontamination, op10_main_block)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -1,10 +1,72 @@
-"""Corpus pipeline; its stages are listed in STAGES."""
+"""From raw documents to token ids.
+
+STAGES in order: language identification drops documents without a recognisable main language; SimHash
+keeps one document of each group of near copies; decontamination drops documents that hold windows of two
+or more benchmark items and cuts the passage of a single item out; the secret scan masks live-looking
+secrets and leaves copied examples; byte-level BPE encodes what is left and proves that it decodes.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows that it gets; all but the last return the
+columns of their input, with ``n_chars`` (code points) renewed where a text was changed.  A row without
+doc_id passes decontamination and the secret scan unchanged.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from inkmill.llm import bpe, langmix, positional, secrets, simhash
+from inkmill.llm.common import edit_texts, store
+
+#: A document stays if its main language has this share of it.
+MAIN_SHARE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = langmix.train(docs.filter(~langmix.held_out("doc_id")), "text", "lang")
+    return langmix.keep(docs, "text", model, MAIN_SHARE)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs, "doc_id", "text")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = positional.contamination(docs, "doc_id", "text", items, "item_id", "text")
+    hits = store(found.filter("n_items > 0").select("doc_id", "contaminated", "n_words", "spans"), "hits")
+    leaked = docs.join(hits.filter("contaminated").select("doc_id").distinct(), "doc_id", "left_anti")
+    partly = hits.filter("not contaminated").dropDuplicates(["doc_id"]).select("doc_id", F.struct("n_words", "spans").alias("hit"))
+    return edit_texts(leaked, "doc_id", "text", partly, positional.cut, length="n_chars")
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(docs, "doc_id", "text", "doc_id", "source")
+    live = F.filter("findings", lambda x: x["live"])
+    hits = store(found.filter("n_live > 0").select("doc_id", live.alias("hit")).dropDuplicates(["doc_id"]), "live")
+    return edit_texts(docs, "doc_id", "text", hits, secrets.mask, length="n_chars")
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminate),
+    ("secrets", mask_secrets),
+    ("byte_bpe", encode),
+]
+
+#: No SQL: the stages are held against a plain Python version in the tests.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply all stages to ``documents``; each result is written to the shared folder before the next starts."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

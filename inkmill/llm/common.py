@@ -89,6 +89,35 @@ def map_rows(df: DataFrame, schema: str, rows: Callable[[Iterator[tuple]], Itera
     return df.mapInArrow(run, spark_schema)
 
 
+#: Rows of edits that may be broadcast.
+BROADCAST_EDITS = 200_000
+
+
+def edit_texts(df: DataFrame, key: str, text: str, edits: DataFrame, edit: Callable, length: str | None = None) -> DataFrame:
+    """``df`` with ``edit(text, hit)`` in the rows that ``edits(key, hit)`` names; ``edits`` has each key once.
+
+    All columns of ``df`` stay; ``length`` names one that then holds the text's code points.
+    """
+    joined = df.join(F.broadcast(edits) if edits.count() <= BROADCAST_EDITS else edits, key, "left").select(*df.columns, "hit")
+    schema = to_arrow_schema(df.schema)
+    names = df.columns
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            hit = batch.column(len(names))
+            columns = batch.columns[:-1]
+            if hit.null_count < batch.num_rows:
+                t, hits = columns[names.index(text)].to_pylist(), hit.to_pylist()
+                new = [a if h is None or a is None else edit(a, h) for a, h in zip(t, hits, strict=True)]
+                columns[names.index(text)] = pa.array(new, schema.field(text).type)
+                if length in names:
+                    n = columns[names.index(length)].to_pylist()
+                    columns[names.index(length)] = pa.array([c if h is None or a is None else len(a) for a, h, c in zip(new, hits, n, strict=True)], schema.field(length).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    return joined.mapInArrow(run, df.schema)
+
+
 # -- connected components ------------------------------------------------------------------------
 
 #: Up to so many edges one executor task finishes the union-find; beyond, rounds of star contraction do.

@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -150,3 +151,16 @@ def identify(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     """Learn from the rows that are not held out, and predict every row of ``df``."""
     model = train(df.filter(~held_out(key)), text, lang)
     return predict(df, key, text, model)
+
+
+def keep(df: DataFrame, text: str, model: Mixture, main_share: float) -> DataFrame:
+    """The rows of ``df`` whose main language is known and has at least ``main_share`` of the text."""
+    held = df.sparkSession.sparkContext.broadcast(model)
+    place = df.columns.index(text)
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            found = (held.value.infer(t.as_py()) for t in batch.column(place))
+            yield batch.filter(pa.array([bool(f) and f[0][1] >= main_share for f in found], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -18,7 +18,7 @@ and an empty test set gives documents without hits.
 
 from __future__ import annotations
 
-import hashlib
+import re
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -44,6 +44,22 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8").translate(_FOLD).split()
 
 
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+
+
+def cut(text: str, hit: dict) -> str:
+    """``text`` without the word ranges ``hit["spans"]``; unchanged if it has not the words they were found in."""
+    raw = text.encode("utf-8")
+    words = [m.span() for m in _WORD.finditer(raw)]
+    if len(words) != hit["n_words"]:
+        return text
+    out, at = [], 0
+    for s in hit["spans"]:
+        out.append(raw[at : words[s["a"]][0]])
+        at = words[s["b"] - 1][1]
+    return b"".join([*out, raw[at:]]).decode("utf-8")
+
+
 class Windows:
     """The distinct windows of a block of test items, with the items that hold each."""
 
@@ -228,7 +244,7 @@ def contamination(docs: DataFrame, key: str, text: str, items: DataFrame, item:
         else:  # shards are cut alike in every pass, so rows meet by (shard, place)
             found = store(_merged(found.unionByName(part), key), "hits")
     n = F.size("items").cast("long")
-    return found.select(key, "n_words", "n_hit", n.alias("n_items"), "items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n >= min_items).alias("contaminated"))
+    return found.select(key, "n_words", "n_hit", n.alias("n_items"), "items", "spans", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n >= min_items).alias("contaminated"))
 
 
 def _merged(both: DataFrame, key: str) -> DataFrame:

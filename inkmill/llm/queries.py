@@ -73,7 +73,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = positional.contamination(_read(spark, sf_dir, "documents"), "doc_id", "text", _read(spark, sf_dir, "benchmark"), "item_id", "text")
-    return found.drop("items")
+    return found.drop("items", "spans")
 
 
 def op10_main_block(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,21 +115,11 @@ def find_secrets(df: DataFrame, key: str, text: str, repo: str, owner: str, max_
     return out.select(F.col("k").alias(key), "findings", F.size(F.filter("findings", lambda x: x["live"])).cast("long").alias("n_live"), F.size(F.filter("findings", lambda x: ~x["live"])).cast("long").alias("n_examples"))
 
 
-def redact(df: DataFrame, key: str, text: str, repo: str, owner: str, mask: str = "[SECRET]", max_owners: int = MAX_OWNERS) -> DataFrame:
-    """(key, text) with every live-looking span masked; copied examples stay.  ``key`` must be unique."""
-    found = find_secrets(df, key, text, repo, owner, max_owners)
-    spans = F.filter("findings", lambda x: x["live"])
-    hit = found.filter("n_live > 0").select(key, spans.alias("_spans"))
-    joined = df.select(key, text).join(hit, key)
-
-    def rows(source: Iterator[tuple]) -> Iterator[tuple]:
-        for k, t, found_spans in source:
-            out, at = [], 0
-            for s in found_spans:
-                if s["b"] > at:
-                    out += [t[at : max(at, s["a"])], mask if s["a"] >= at else ""]
-                    at = s["b"]
-            yield k, "".join(out) + t[at:]
-
-    kind = df.schema[key].dataType.simpleString()
-    return map_rows(joined, f"{key} {kind}, {text} string", rows)
+def mask(text: str, spans: list[dict], sign: str = "[SECRET]") -> str:
+    """``text`` with the given spans, in order of their starts, replaced; overlapping spans are masked once."""
+    out, at = [], 0
+    for s in spans:
+        if s["a"] >= at:
+            out += [text[at : s["a"]], sign]
+        at = max(at, s["b"])
+    return "".join(out) + text[at:]

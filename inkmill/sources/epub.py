@@ -75,6 +75,11 @@ def documents(data: bytes) -> Iterator[tuple[int, str, str, bytes | None]]:
 def read_epubs(spark: SparkSession, path: str, keep_errors: bool = False) -> DataFrame:
     """DOCS of every .epub under ``path``; members that an archive lacks have null content."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.epub").option("recursiveFileLookup", "true").load(path)
+    return open_archives(files, keep_errors)
+
+
+def open_archives(files: DataFrame, keep_errors: bool = False) -> DataFrame:
+    """DOCS of ``files(path, content)``."""
 
     def opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["book_id", "spine_pos", "href", "media_type", "content", "error"]

@@ -1,0 +1,85 @@
+import random
+import re
+import unicodedata
+
+import model
+import pytest
+from pyspark.sql import functions as F
+
+from inkmill.functions import regexes as R
+from inkmill.functions import text as T
+
+
+def column(spark, values, make):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, s string")
+    return [r[0] for r in df.orderBy("i").select(make(F.col("s"))).collect()]
+
+
+def test_normalize_cases(spark):
+    cases = {"a\tb": "ab", "a 　 b": "a b", "x\r\n\r\n\r\n y ": "x\n\ny", "": "", "﻿a​b": "ab", " \n \n a": "a"}
+    assert column(spark, cases, T.normalize) == list(cases.values())
+    assert column(spark, [None], T.normalize) == [None]
+
+
+def test_normalize_random(spark):
+    rng = random.Random(1)
+    alphabet = "ab \t\n\r 　​⁠\xad͸\U00031350 \x85é中"
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 30))) for _ in range(2000)]
+    assert column(spark, texts, T.normalize) == [model.normalize(t) for t in texts]
+
+
+def test_control_class_covers_every_code_point(spark):
+    points = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    blocks = ["".join(points[i : i + 4096]) for i in range(0, len(points), 4096)]
+    left = column(spark, blocks, lambda c: F.regexp_replace(c, R.CONTROL, ""))
+    wrong = [(a, b) for a, b in zip(blocks, left, strict=True) if b != "".join(c for c in a if c == "\n" or unicodedata.category(c)[0] != "C")]
+    # assigned by this interpreter's Unicode tables only
+    assert sum(len(a) for a, _ in wrong) < 4097
+
+
+def test_space_and_digits(spark):
+    points = [chr(i) for i in range(0x20000) if not 0xD800 <= i < 0xE000]
+    found = column(spark, points, lambda c: F.struct(c.rlike(R.SPACE).alias("s"), c.rlike(R.ONLY_DIGITS).alias("d")))
+    assert [p for p, f in zip(points, found, strict=True) if f["s"] != p.isspace()] == []
+    assert len([p for p, f in zip(points, found, strict=True) if f["d"] != p.isdigit()]) < 40
+
+
+def test_sentences(spark):
+    cases = {"什么？！他说。": ["什么？", "！他说。"], "!!!": ["!", "!!"], "他说：“走。”然后……走了": ["他说：“走。”", "然后……", "走了"], "": [], "…": ["…"]}
+    assert column(spark, cases, T.sentences) == list(cases.values())
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("a。！?…”」 b，", k=rng.randint(0, 25))).strip() for _ in range(4000)]
+    assert column(spark, texts, T.sentences) == [model.sentences(t) for t in texts]
+
+
+def test_sentences_of_a_very_long_paragraph(spark):
+    assert column(spark, ["a" * 300_000 + "。b", "a…b" * 2000 + "。"], lambda c: F.size(T.sentences(c))) == [2, 1]
+
+
+def test_counts(spark):
+    assert column(spark, ["你好 abcde", "", "  a"], T.estimate_tokens) == [4, 0, 1]
+    assert column(spark, ["a b　c\n", ""], T.count_chars) == [3, 0]
+
+
+def test_join_and_titles(spark):
+    assert column(spark, ["a!|B", "a|b", "中|b"], lambda c: T.join_pieces(F.split(c, "[|]"))) == ["a!B", "a b", "中b"]
+    assert column(spark, ["New Start", "a，b", "x" * 21, " 起点 ", "é"], lambda c: T.looks_like_title(c, 20)) == [True, False, False, True, False]
+
+
+def test_split_lines(spark):
+    text = "a\x0bb\x0cc\x1cd\x85e f g\r\nh\r\ri\n \n"
+    assert column(spark, [text], T.split_lines) == [[x.strip() for x in text.splitlines() if x.strip()]]
+
+
+@pytest.mark.parametrize("pattern, flags, new", [(r"(?P<a>x)(?P=a)", "", r"<\g<a>>"), (r"\s{2,}", "m", " "), (r"^b.", "ms", "$1"), (r"É+", "i", ""), (r"a$", "", r"\\"), (r"[\s,]+\Z", "", "!"), (r"\bth\w", "i", "x"), (r"[]a]", "", "-")])
+def test_patterns_translate(spark, pattern, flags, new):
+    texts = ["xxa  b　　c", "a\nbcd\nb\n", "éÉ a", "aa\n", "x, \x1c", "The thé th", "a]b", "bα"]
+    compiled = re.compile(pattern, sum({"i": re.I, "m": re.M, "s": re.S}[f] for f in flags))
+    got = column(spark, texts, lambda c: F.regexp_replace(c, R.to_java(pattern, flags), R.replacement_to_java(new)))
+    assert got == [compiled.sub(new, t) for t in texts]
+
+
+@pytest.mark.parametrize("pattern", [r"(a)?(?(1)b|c)", r"[[a]", r"[a&&b]", r"[\S]"])
+def test_patterns_without_a_java_form(pattern):
+    with pytest.raises(R.Untranslatable):
+        R.to_java(pattern)

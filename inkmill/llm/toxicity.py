@@ -51,7 +51,7 @@ _SIGNS = re.escape("".join(LEET))
 #: A letter or sign, then signs and letters in one token with at least one of each.
 MIXED = re.compile(rf"(?<![^\W_])(?=[{_SIGNS}]*[^\W\d_])(?=[^\W\d_]*[{_SIGNS}])[{_SIGNS}\w*.\-]*[^\W_]")
 REPEATED = re.compile(r"\w*([^\W\d_])\1\1\w*")
-SPACED = re.compile(rf"(?<![\w{_SIGNS}])[^\W_](?:[ .\-_*]{{1,2}}[^\W_{_SIGNS}]|[ .\-_*]{{1,2}}[{_SIGNS}]){{2,}}(?![\w])")
+SPACED = re.compile(rf"(?<![\w{_SIGNS}])[^\W_](?:[ .\-_*]{{1,2}}[^\W_{_SIGNS}]|[ .\-_*]{{1,2}}[{_SIGNS}]){{3,}}(?![\w])")
 
 
 def _classes(text: str) -> np.ndarray:

@@ -1,0 +1,79 @@
+"""The pipeline against a plain version of its stages."""
+
+import hashlib
+import re
+
+import corpus_pipeline
+import public_tokenizers
+import tiktoken
+from test_documents import plain_groups, plain_hits, plain_print
+
+from inkmill.llm import bpe, langmix, secrets
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_run(spark):
+    rows = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    texts = {i: r["text"] for i, r in rows.items()}
+    model = langmix.train(spark.read.parquet(f"{SF}/documents.parquet").filter(~langmix.held_out("doc_id")), "text", "lang")
+    texts = {i: t for i, t in texts.items() if (f := model.infer(t)) and f[0][1] >= corpus_pipeline.MAIN_SHARE}
+    groups = plain_groups({i: {plain_print(t)} for i, t in texts.items()})
+    texts = {i: t for i, t in texts.items() if groups[i] == i}
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    left = {}
+    for i, t in texts.items():
+        _, n_hit, names = plain_hits(t, items)
+        if len(names) < 2:
+            left[i] = _without(t, items) if n_hit else t
+    owners = {}
+    for i, t in left.items():
+        base = secrets.base_spans(t)
+        for *_, v in base + secrets.free_spans(t, base):
+            owners.setdefault(v, set()).add(rows[i]["source"])
+    codec = bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    want = {}
+    for i, t in left.items():
+        base = secrets.base_spans(t)
+        live = [{"a": a, "b": b} for a, b, _, v in sorted(base + secrets.free_spans(t, base), key=lambda x: (x[0], secrets.KINDS.index(x[2]))) if len(owners[v]) <= secrets.MAX_OWNERS]
+        t = secrets.mask(t, live)
+        want[i] = len(reference.encode_ordinary(t)), hashlib.sha256(t.encode()).hexdigest()
+    got = {r["doc_id"]: (r["n_tokens"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, SF).collect()}
+    assert got == want
+
+
+def _without(text, items):
+    spans = [m.span() for m in re.finditer("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", text)]
+    fold = lambda w: w.translate({i: i + 32 for i in range(65, 91)})
+    words, hit = [fold(text[a:b]) for a, b in spans], set()
+    for _, body in items:
+        w = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", fold(body or ""))
+        n = min(8, len(w))
+        for j in range(len(w) - n + 1) if n else ():
+            for i in range(len(words) - n + 1):
+                if words[i : i + n] == w[j : j + n]:
+                    hit |= set(range(i, i + n))
+    out, at = [], 0
+    for i in sorted(hit):
+        if i - 1 not in hit:
+            out.append(text[at : spans[i][0]])
+        at = spans[i][1]
+    return "".join([*out, text[at:]])
+
+
+def test_stages_take_odd_rows(docs, odd, spark, tmp_path):
+    spark.createDataFrame([(1, "some words that a test set may hold in it")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    english = "the house of the river and the old bridge where they walked together in the evening light "
+    german = "der alte mann und das kleine haus am fluss wo sie zusammen durch den wald gegangen sind "
+    table = docs([*odd, (20, english * 3), (21, f"{german} some words that a test set may hold in it {german}"), (22, f"{english} token = Ab3dEf6hIj9kLm2n {english[:40]}")])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        new = stage(spark, table, str(tmp_path))
+        assert new.columns == table.columns, name
+        new.write.parquet(f"{tmp_path}/{name}")
+        table = spark.read.parquet(f"{tmp_path}/{name}")
+        assert stage(spark, table.limit(0), str(tmp_path)).count() == 0
+    left = {r["doc_id"]: r for r in table.collect()}
+    assert "test set" not in left[21]["text"] and left[21]["n_chars"] == len(left[21]["text"])
+    assert "[SECRET]" in left[22]["text"] and "Ab3dEf" not in left[22]["text"]
+    assert left[20]["text"] == english * 3

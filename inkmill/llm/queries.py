@@ -82,4 +82,29 @@ def op10_main_block(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_secret_ownership, op2_transport_streams, op3_paragraph_minhash, op4_byte_bpe, op5_warc_index, op6_toxicity_deobfuscated, op7_language_mixture, op8_simhash, op9_positional_decontamination, op10_main_block)}
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+')"
+_BITS = "array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(strpos('0123456789abcdef', sha[i]) - 1), 4, '0')), '')"
+_BASE32 = "array_to_string(list_transform(range(0, 32), lambda k: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + CAST('0b' || bits[5 * k + 1:5 * k + 5] AS INTEGER)]), '')"
+_PLAIN = "x"
+for _name, _sign in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+    _PLAIN = f"replace({_PLAIN}, '&{_name};', '{_sign}')"
+_PLAIN = f"trim(regexp_replace({_PLAIN}, '\\s+', ' ', 'g'))"
+
+#: SQL for what SQL can say; the other operators are tested against brute force, round trips or held-out rows.
+ORACLE_SQL: dict[str, str] = {
+    "op5_warc_index": f"""WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS sha FROM pages),
+b AS (SELECT *, {_BITS} AS bits, max(page_id) OVER (PARTITION BY sha) AS keeper FROM p)
+SELECT page_id, n AS payload_bytes, {_BASE32} AS payload_digest, CASE WHEN keeper = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN keeper <> page_id THEN keeper END AS refers_to FROM b""",
+    "op9_positional_decontamination": f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(w), 8) AS n, array_to_string(w[i:i + least(len(w), 8) - 1], ' ') AS win FROM b, LATERAL (SELECT unnest(range(1, greatest(1, len(w) - 7) + 1)) AS i) g WHERE len(w) > 0),
+dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM d, (SELECT DISTINCT n FROM bw) s, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i) g),
+m AS (SELECT dw.doc_id, dw.i, dw.n, bw.item_id FROM dw JOIN bw USING (n, win)),
+h AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM m, LATERAL (SELECT unnest(range(i, i + n)) AS k) g GROUP BY 1),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY 1)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_items, 0) >= 2 AS contaminated FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
+    # the generated pages have one article each, of h1, p, b and br elements and four character references
+    "op10_main_block": f"""WITH a AS (SELECT page_id, url, regexp_split_to_array(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)(?:</article>|$)', 1), '</?b>', '', 'g'), '</?(?:h1|p|br)>') AS l FROM pages),
+t AS (SELECT page_id, url, array_to_string(list_filter(list_transform(l, lambda x: {_PLAIN}), lambda x: x <> ''), chr(10)) AS text FROM a)
+SELECT *, length(text) AS n_chars FROM t""",
+}

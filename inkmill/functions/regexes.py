@@ -14,6 +14,8 @@ from functools import lru_cache
 SPACE_CLASS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE = f"[{SPACE_CLASS}]"
 NOT_SPACE = f"[^{SPACE_CLASS}]"
+#: The same characters, one by one.
+SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 #: Line ends of str.splitlines().
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 #: Characters assigned after the Unicode version of Java 17, which it takes for unassigned.

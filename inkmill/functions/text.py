@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkmill.functions.regexes import CONTROL, LINE_END, SPACE, SPACE_CLASS
+from inkmill.functions.regexes import CONTROL, LINE_END, SPACE, SPACE_CLASS, SPACES
 
 # The quotation marks, sentence ends and title characters of the cleaning rules.
 CLOSE_QUOTES = "”’」』》〉】）"
@@ -23,17 +23,13 @@ _TAIL = f"{_BODY}*+(?:…{_BODY}++)*+(?:…?{_END}|……){_QUOTES}*+"
 SENTENCE = f"(?s)[^…]{_TAIL}|[^…].*|{_TAIL}|.+"
 
 
-def _literal(pattern: str) -> Column:
-    return F.lit(pattern)
-
-
 def strip(text: Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(text, rf"\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def strip_left(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\A{SPACE}+", "")
+    return F.ltrim(text, F.lit(SPACES))
 
 
 def normalize(text: Column) -> Column:
@@ -57,7 +53,7 @@ def split_lines(text: Column) -> Column:
 
 def sentences(paragraph: Column) -> Column:
     """Sentences of a paragraph, stripped, without blank ones."""
-    found = F.regexp_extract_all(F.concat(F.lit(SENTINEL), paragraph), _literal(SENTENCE), F.lit(0))
+    found = F.regexp_extract_all(F.concat(F.lit(SENTINEL), paragraph), F.lit(SENTENCE), F.lit(0))
     return F.filter(F.transform(found, lambda x: strip(F.replace(x, F.lit(SENTINEL), F.lit("")))), lambda x: x != "")
 
 
@@ -75,12 +71,16 @@ def estimate_tokens(text: Column) -> Column:
 
 def needs_space(before: Column, after: Column) -> Column:
     """Do two pieces meet in ASCII letters or digits?"""
-    return before.rlike(r"[A-Za-z0-9]\z") & after.rlike(r"\A[A-Za-z0-9]")
+    return F.substring(before, -1, 1).rlike("[A-Za-z0-9]") & F.substring(after, 1, 1).rlike("[A-Za-z0-9]")
 
 
 def join_pieces(pieces: Column) -> Column:
-    """Pieces in one string, with a space only where ``needs_space``."""
-    return F.aggregate(pieces, F.lit(""), lambda out, x: F.concat(out, F.when(needs_space(out, x), F.lit(" ")).otherwise(F.lit("")), x))
+    """Non-empty pieces in one string, with a space only where ``needs_space``; linear in their length."""
+
+    def joined(p: Column) -> Column:
+        return F.array_join(F.transform(p, lambda x, i: F.concat(F.when(needs_space(F.get(p, i - 1), x), F.lit(" ")).otherwise(F.lit("")), x)), "")
+
+    return F.element_at(F.transform(F.array(pieces), joined), 1)
 
 
 def looks_like_title(text: Column, max_len: int) -> Column:

@@ -39,11 +39,21 @@ def shared_dir(spark: SparkSession) -> str:
 def store(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a reader of the written table."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{_own_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the tables that this application has stored; results that read them must be written by then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def schema_of(ddl: str) -> T.StructType:
     return T._parse_datatype_string(ddl)
 

@@ -177,6 +177,14 @@ def test_components_of_a_long_chain(spark):
     assert common.components(edges.limit(0), 0).collect() == []
 
 
+def test_stored_tables_are_cleared(spark):
+    held = common.store(spark.range(3).toDF("x"), "held")
+    assert held.count() == 3
+    common.clear(spark)
+    with pytest.raises(Exception, match="exist"):
+        spark.read.parquet(held.inputFiles()[0]).count()
+
+
 # -- decontamination ----------------------------------------------------------------------------------
 
 def plain_hits(text, items):
@@ -308,7 +316,7 @@ def test_decoding(docs):
     for written, meant in {"1d10t": "idiot", "s.t.u.p.i.d": "stupid", "l o s e r": "loser", "clooown": "clown", "tra$h": "trash", "!d!ot": "idiot"}.items():
         assert meant in channel.restored(f"you are {written} now"), written
     assert channel.restored("plain words, 12 of them. 3 x 4") == set()
-    assert channel.restored("a" * 100_000) and channel.decode("9" * 100) == "9" * 100
+    assert channel.restored("a" * 100_000) == set() and channel.decode("9" * 100) == "9" * 100
 
 
 def test_toxicity(docs, spark, odd):

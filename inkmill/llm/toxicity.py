@@ -19,7 +19,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 from math import log
 
 import numpy as np
@@ -48,10 +49,16 @@ PLAIN, SIGN, LITERAL, EXTRA = 0.0, -1.0, -6.0, -1.5
 
 WORD = re.compile(r"[^\W\d_]+")
 _SIGNS = re.escape("".join(LEET))
-#: A letter or sign, then signs and letters in one token with at least one of each.
+#: Signs among letters.
 MIXED = re.compile(rf"(?<![^\W_])(?=[{_SIGNS}]*[^\W\d_])(?=[^\W\d_]*[{_SIGNS}])[{_SIGNS}\w*.\-]*[^\W_]")
 REPEATED = re.compile(r"\w*([^\W\d_])\1\1\w*")
-SPACED = re.compile(rf"(?<![\w{_SIGNS}])[^\W_](?:[ .\-_*]{{1,2}}[^\W_{_SIGNS}]|[ .\-_*]{{1,2}}[{_SIGNS}]){{3,}}(?![\w])")
+#: Four or more single letters or signs with marks between.
+DOTTED = re.compile(rf"(?<![\w{_SIGNS}])[^\W_](?:[.\-_*]{{1,2}}[^\W_]|[.\-_*]{{1,2}}[{_SIGNS}]){{3,}}(?!\w)")
+#: Single characters that may be letters of a spaced-out word.
+SINGLE = re.compile(rf"[^\W_]|[{_SIGNS}]")
+SPACED = 4
+#: Marks around a word that are no signs for letters there.
+MARKS = ".,;:!?\"'()[]{}*#%&"
 
 
 def _classes(text: str) -> np.ndarray:
@@ -107,14 +114,40 @@ class Channel:
         best = max(((score + self.logp[a][b][26], out) for (a, b), (score, out) in states.items()), default=(0.0, token))
         return best[1]
 
-    def restored(self, text: str) -> set[str]:
-        """Words that decoding adds to those that are written plainly."""
-        found = set()
-        for pattern in (MIXED, REPEATED, SPACED):
-            for m in pattern.finditer(text):
+    def words_of_token(self, token: str) -> set[str]:
+        """The words of a token without white space, as written and as meant; the token is in lower case."""
+        core = token.strip(MARKS)
+        plain = core.isalpha()  # then it can only be disguised by repetition
+        found = {core} if plain else set(WORD.findall(token))
+        for pattern in (REPEATED,) if plain else (MIXED, REPEATED, DOTTED):
+            for m in pattern.finditer(token):
                 found.add(self.decode(m[0]))
         return found
 
+    def spaced(self, tokens: list[str]) -> Iterator[str]:
+        """Words spelled out in tokens of one character each."""
+        run: list[str] = []
+        last = -2
+        for i in [i for i, t in enumerate(tokens) if len(t) == 1]:
+            if i != last + 1:
+                yield from self._spelled(run)
+                run = []
+            run.append(tokens[i])
+            last = i
+        yield from self._spelled(run)
+
+    def _spelled(self, run: list[str]) -> Iterator[str]:
+        for fits, part in groupby(run, lambda t: bool(SINGLE.fullmatch(t))):
+            letters = "".join(part)
+            if fits and len(letters) >= SPACED:
+                yield self.decode(letters)
+
+    def restored(self, text: str) -> set[str]:
+        """Words that decoding adds to those that are written plainly."""
+        tokens = text.lower().split()
+        found = {w for t in set(tokens) for w in self.words_of_token(t)} | set(self.spaced(tokens))
+        return found - set(WORD.findall(text.lower()))
+
 
 def train_channel(df: DataFrame, text: str) -> Channel:
     """Trigram counts over every text of ``df``."""
@@ -136,7 +169,8 @@ def train_channel(df: DataFrame, text: str) -> Channel:
 
 
 def words_of(text: str | None, channel: Channel) -> set[str]:
-    return set(WORD.findall((text or "").lower())) | channel.restored(text or "")
+    tokens = (text or "").lower().split()
+    return {w for t in set(tokens) for w in channel.words_of_token(t)} | set(channel.spaced(tokens))
 
 
 def features(word: str) -> list[str]:
@@ -150,7 +184,7 @@ class Scorer:
         self.channel, self.lexicon = channel, lexicon
         self.prior = (toxic + 0.5) / (toxic + clean + 1)
         self.weights: np.ndarray | None = None
-        self.known: dict[str, tuple[float, ...]] = {}
+        self.known: dict[str, dict[str, float]] = {}
 
     def _share(self, feature: str, label: int | None = None) -> float:
         p, n = self.lexicon.get(feature, (0, 0))
@@ -158,20 +192,30 @@ class Scorer:
             p, n = (p - 1, n) if label and p else (p, n - 1) if not label and n else (p, n)
         return (p + PRIOR_ROWS * self.prior) / (p + n + PRIOR_ROWS)
 
+    def _shares(self, words: Iterable[str], label: int | None = None) -> dict[str, float]:
+        """The words' shares of toxic texts, where above the prior."""
+        found = {}
+        for w in words:
+            listed = [f for f in features(w) if f in self.lexicon]
+            if listed and (share := max(self._share(f, label) for f in listed)) > self.prior:
+                found[w] = share
+        return found
+
     def vector(self, text: str | None, label: int | None = None) -> np.ndarray:
-        best: list[float] = []
-        for w in words_of(text, self.channel):
-            if label is None:
-                share = self.known.get(w)
-                if share is None:
+        if label is not None:
+            shares = self._shares(words_of(text, self.channel), label)
+        else:
+            tokens = (text or "").lower().split()
+            shares = self._shares(self.channel.spaced(tokens))
+            for t in set(tokens):
+                known = self.known.get(t)
+                if known is None:
                     if len(self.known) >= MEMO:
                         self.known.clear()
-                    share = self.known[w] = max(map(self._share, features(w)))
-            else:
-                share = max(self._share(f, label) for f in features(w))
-            if share > self.prior:
-                best.append(share)
-        best.sort(reverse=True)
+                    known = self.known[t] = self._shares(self.channel.words_of_token(t))
+                if known:
+                    shares.update(known)
+        best = sorted(shares.values(), reverse=True)
         top = [log(s / (1 - s)) for s in (*best[:3], *[self.prior] * 3)[:3]]
         return np.array([1.0, *top, log(1 + sum(s > 0.8 for s in best))])
 

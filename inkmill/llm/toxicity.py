@@ -50,8 +50,9 @@ PLAIN, SIGN, LITERAL, EXTRA = 0.0, -1.0, -6.0, -1.5
 WORD = re.compile(r"[^\W\d_]+")
 _SIGNS = re.escape("".join(LEET))
 #: Signs among letters.
-MIXED = re.compile(rf"(?<![^\W_])(?=[{_SIGNS}]*[^\W\d_])(?=[^\W\d_]*[{_SIGNS}])[{_SIGNS}\w*.\-]*[^\W_]")
-REPEATED = re.compile(r"\w*([^\W\d_])\1\1\w*")
+MIXED = re.compile(rf"(?<![^\W_])(?<![{_SIGNS}])(?=[{_SIGNS}]*[^\W\d_])(?=[^\W\d_]*[{_SIGNS}])[{_SIGNS}\w*.\-]*[^\W_]")
+RUN = re.compile(r"\w+")
+TRIPLE = re.compile(r"([^\W\d_])\1\1")
 #: Four or more single letters or signs with marks between.
 DOTTED = re.compile(rf"(?<![\w{_SIGNS}])[^\W_](?:[.\-_*]{{1,2}}[^\W_]|[.\-_*]{{1,2}}[{_SIGNS}]){{3,}}(?!\w)")
 #: Single characters that may be letters of a spaced-out word.
@@ -119,9 +120,10 @@ class Channel:
         core = token.strip(MARKS)
         plain = core.isalpha()  # then it can only be disguised by repetition
         found = {core} if plain else set(WORD.findall(token))
-        for pattern in (REPEATED,) if plain else (MIXED, REPEATED, DOTTED):
-            for m in pattern.finditer(token):
-                found.add(self.decode(m[0]))
+        if TRIPLE.search(token):
+            found.update(self.decode(run) for run in RUN.findall(token) if TRIPLE.search(run))
+        for pattern in () if plain else (MIXED, DOTTED):
+            found.update(self.decode(m[0]) for m in pattern.finditer(token))
         return found
 
     def spaced(self, tokens: list[str]) -> Iterator[str]:

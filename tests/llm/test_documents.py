@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -319,6 +320,15 @@ def test_decoding(docs):
     assert channel.restored("a" * 100_000) == set() and channel.decode("9" * 100) == "9" * 100
 
 
+def test_long_tokens_take_linear_time():
+    channel = toxicity.Channel(np.zeros(toxicity.CLASSES**3))
+    began = time.perf_counter()
+    for token in ["ab1$" * 50_000, "$" * 200_000, "!" * 200_000 + "x", "abcdefgh" * 30_000, "a.b-" * 50_000 + "zz", "1" * 200_000, "ab" * 100_000 + "$", "._" * 100_000]:
+        channel.words_of_token(token)
+        list(channel.spaced(list(token[:50_000])))
+    assert time.perf_counter() - began < 30
+
+
 def test_toxicity(docs, spark, odd):
     rng = random.Random(13)
     rows, labels = [], []

@@ -22,6 +22,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 #: Rows, and characters or bytes, after which a batch of output rows is sent on.
 FLUSH_ROWS = 2_000
 FLUSH_SIZE = 8_000_000
+#: Bytes of input rows, by the batch's average, that are Python objects at once.
+SLICE_SIZE = 4_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -90,8 +92,9 @@ def map_rows(df: DataFrame, schema: str, rows: Callable[[Iterator[tuple]], Itera
         def tuples() -> Iterator[tuple]:
             for batch in source:
                 # slices keep the Python copies of long texts few at a time
-                for at in range(0, batch.num_rows, 256):
-                    part = batch.slice(at, 256)
+                step = max(1, min(256, SLICE_SIZE * batch.num_rows // max(1, batch.nbytes)))
+                for at in range(0, batch.num_rows, step):
+                    part = batch.slice(at, step)
                     yield from zip(*(c.to_pylist() for c in part.columns), strict=True)
 
         yield from batches(rows(tuples()), arrow)

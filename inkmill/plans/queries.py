@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkmill.functions import text as T
@@ -37,8 +37,6 @@ def _docs(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFra
 
 def _paragraphs(docs: DataFrame) -> DataFrame:
     """Paragraphs of documents; a source is a book, its documents in order."""
-    from pyspark.sql import Window
-
     each = docs.select("source", "doc_id", F.posexplode(T.paragraphs(T.normalize(F.col("text")))).alias("pos", "text"))
     order = Window.partitionBy("source").orderBy("doc_id", "pos")
     return each.select(F.col("source").alias("book_id"), F.row_number().over(order).cast("long").alias("para_no"), "text")
@@ -264,7 +262,7 @@ _ANSWER = """concat('ok: {"cuts":[{"end_line":', doc_id % 50, ',"title":"', sour
 
 
 def q21_parse_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    answers = _docs(spark, sf_dir).select("doc_id", F.expr(_ANSWER.replace("'ok: {", "'ok: {")).alias("answer"))
+    answers = _docs(spark, sf_dir).select("doc_id", F.expr(_ANSWER).alias("answer"))
     parsed = answers.select("doc_id", cuts.parse_cuts(F.col("answer")).alias("p"))
     each = parsed.select("doc_id", F.explode(cuts.within(F.col("p.cuts"), F.lit(1), F.lit(40))).alias("c"))
     return each.select("doc_id", "c.end_line", "c.title", "c.summary")

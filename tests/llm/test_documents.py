@@ -301,6 +301,20 @@ def test_near_paragraphs_against_brute_force(docs):
     assert got == {i: find(i) for i in range(len(texts)) if sizes[i] > 1}
 
 
+def test_short_lines_are_paragraphs(docs):
+    rng = random.Random(13)
+    rows, want = [], {}
+    for n in range(5, 26):
+        line = words(rng, n)
+        near = f"{line.rsplit(' ', 1)[0]} changed" if n == 25 else line
+        rows += [(10 * n, f"{words(rng, 30)}\n{line}"), (10 * n + 1, f"{near}\n{words(rng, 30)}")]
+        want |= {10 * n: (10 * n, []), 10 * n + 1: (10 * n, [(0, n)])}
+    four = words(rng, 4)
+    rows += [(1, f"{words(rng, 30)}\n{four}"), (2, four)]
+    got = {r["doc_id"]: r for r in paragraphs.repeated(docs(rows), "doc_id", "text").collect()}
+    assert {i: (r["class_doc"], [(s["a"], s["b"]) for s in r["removed"]]) for i, r in got.items()} == want
+
+
 def test_runs_have_one_hash_anywhere():
     a, b = paragraphs.Hasher(), paragraphs.Hasher()
     a.load([b"x", b"y", b"z"])

@@ -42,8 +42,8 @@ def op2_transport_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with a repeated paragraph or passage, its class and the word ranges to remove."""
-    return paragraphs.repeated(_read(spark, sf_dir, "documents"), "doc_id", "text")
+    """Every document with its class, the links to its repeated paragraphs and passages, and the word ranges to remove."""
+    return paragraphs.classes(_read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -315,6 +315,17 @@ def test_short_lines_are_paragraphs(docs):
     assert {i: (r["class_doc"], [(s["a"], s["b"]) for s in r["removed"]]) for i, r in got.items()} == want
 
 
+def test_every_document_has_its_class_and_all_links(docs):
+    rng = random.Random(14)
+    p, q, r = (words(rng, 30) for _ in range(3))
+    rows = [(5, p), (7, f"{p}\n{q}"), (9, f"{q}\n{r}"), (11, r), (13, words(rng, 30)), (14, None), (None, p)]
+    got = {x["doc_id"]: x for x in paragraphs.classes(docs(rows), "doc_id", "text").collect()}
+    assert {i: x["class_doc"] for i, x in got.items()} == {5: 5, 7: 5, 9: 5, 11: 5, 13: 13, 14: 14}
+    links = {i: {tuple(k) for k in x["links"]} for i, x in got.items()}
+    assert {i: {d for d, _ in k} for i, k in links.items()} == {5: {5}, 7: {5, 7}, 9: {7, 9}, 11: {9}, 13: set(), 14: set()}
+    assert links[5] < links[7] and links[11] < links[9] and links[7] & links[9] and all(x["n_links"] == len(links[i]) for i, x in got.items())
+
+
 def test_runs_have_one_hash_anywhere():
     a, b = paragraphs.Hasher(), paragraphs.Hasher()
     a.load([b"x", b"y", b"z"])

@@ -1,9 +1,9 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped to lines, one for each block element; scripts, styles, comments and containers that
-are boilerplate by their tag or by a word of their class, id or role leave a gap instead.  The weight of
-a line is its text outside links (and, where the page marks an article or main element, only inside it).
-Weights are summed over sliding windows of lines.  The surge point is where a window first passes the
+are boilerplate by their tag or by a word of their class, id or role leave a gap instead.  Where the page marks
+an article or main element with text, all lines inside it are the main text.  Elsewhere the weight of a
+line is its text outside links.  Weights are summed over sliding windows of lines.  The surge point is where a window first passes the
 threshold, the dive point where windows fall to zero; the stretch with the most text between a surge
 and its dive is the main text.
 
@@ -127,14 +127,15 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """The text between the surge and the dive of the fullest stretch, one line a block."""
     lines = lines_of(page or "")
-    marked = any(inside and weight for _, weight, inside in lines)
-    weights = [weight if inside or not marked else 0 for _, weight, inside in lines]
+    if any(text and inside for text, _, inside in lines):  # all of an article, its links and what gaps cut apart
+        return "\n".join(text for text, _, inside in lines if text and inside)
+    weights = [weight for _, weight, _ in lines]
     if not any(weights):
         return ""
     sums = [0, *accumulate(weights)]
     n = len(lines)
     block = [sums[min(n, i + window)] - sums[i] for i in range(n)]
-    threshold = 1 if marked else max(1, min(surge, max(block) // 4))
+    threshold = max(1, min(surge, max(block) // 4))
     best, stretch, i = 0, (0, 0), 0
     while i < n:
         if block[i] < threshold:
@@ -148,10 +149,7 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
             best, stretch = sums[stop] - sums[start], (start, stop)
         i = stop + 1
     a, b = stretch
-    if marked:  # an article that an embedded gap cuts in two is still one article
-        a = next(j for j in range(n) if weights[j])
-        b = n - next(j for j in range(n) if weights[n - 1 - j])
-    return "\n".join(text for text, _, inside in lines[a:b] if text and (inside or not marked))
+    return "\n".join(text for text, _, _ in lines[a:b] if text)
 
 
 def extract(df: DataFrame, key: str, url: str, page: str) -> DataFrame:

@@ -94,6 +94,12 @@ def test_main_text():
     assert mainblock.main_text("<p>a < b & c &#233; &nbsp; d</p>") == "a < b & c é d"
 
 
+def test_links_at_the_ends_of_an_article_stay():
+    page = "<p>before</p><article><h1><a href=x>Title</a></h1><p>Body.</p><p><a href=y>Last</a></p></article><p>after</p>"
+    assert mainblock.main_text(page) == "Title\nBody.\nLast"
+    assert mainblock.main_text("<p>A long line outside of it.</p><main><a href=x>One</a><p><a href=y>Two</a></p></main>") == "One\nTwo"
+
+
 def test_hard_pages_take_linear_time(pages):
     for page in ["<a " * 100_000, "<" * 300_000, "<p \"" * 50_000, "<!--" * 100_000, "<script>" * 50_000, "<div class='ad'>" * 50_000, "<p>" + "x" * 1_000_000]:
         mainblock.main_text(page)

@@ -36,7 +36,7 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "live")
 
 #: Random-looking tokens: at least so long, with all three character classes, and so many bits a character.
-FREE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[a-z+/_-]*[A-Z0-9])[A-Za-z0-9+/_-]{20,}={0,2}")
+FREE = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[a-z+/_-]*[A-Z0-9])[A-Za-z0-9+/_-]{20,}={0,2}")
 MIN_BITS = 3.5
 #: A value of more owners than this is a copied example.
 MAX_OWNERS = 2

@@ -50,6 +50,13 @@ def test_secrets_of_odd_texts(docs, odd):
     assert secrets.find_secrets(docs([(1, f"token={KEY}", None, None)]), "doc_id", "text", "doc_id", "source").first()["n_live"] == 1
 
 
+def test_free_tokens_after_an_equals_sign():
+    for name in ("auth", "AWS_SECRET_ACCESS_KEY", "A_LONGER_NAME_OF_A_SECRET_ACCESS_KEY"):
+        text = f"{name}={KEY} x"
+        assert secrets.base_spans(text) == []
+        assert [text[a:b] for a, b, _, _ in secrets.free_spans(text, [])] == [KEY]
+
+
 def test_mask():
     spans = [{"a": 2, "b": 5}, {"a": 4, "b": 6}, {"a": 8, "b": 9}]
     assert secrets.mask("0123456789", spans) == "01[SECRET]67[SECRET]9"

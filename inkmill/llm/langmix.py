@@ -89,12 +89,12 @@ class Mixture:
             full, _ = self._em(p, n, total, ROUNDS)
             cost = PENALTY * np.log(total + 1) / 2
             for other in np.argsort(-full, kind="stable"):
-                if other in chosen or full[other] < 0.02:
+                if other in chosen:
                     continue
                 wider = [*chosen, int(other)]
                 new, gained = self._em(p[wider], n, total, ROUNDS)
                 if gained - likelihood <= cost:
-                    break
+                    continue
                 chosen, share, likelihood = wider, new, gained
         order = sorted(range(len(chosen)), key=lambda i: (-share[i], self.names[chosen[i]]))
         return [(self.names[chosen[i]], float(share[i])) for i in order]

@@ -84,6 +84,15 @@ def test_mixtures(model):
     assert model.infer(None) == model.infer("12 !? \n") == model.infer("") == []
 
 
+def test_small_shares_and_later_languages(model, monkeypatch):
+    found = model.infer(EN * 200 + DE * 3)
+    assert [x[0] for x in found] == ["en", "de"] and found[1][1] < 0.03
+    # a language that fails is tried before one that passes
+    whole, first = model._em, iter([(np.array([0.3, 0.5, 0.2]), 0.0), (np.ones(2) / 2, -np.inf)])
+    monkeypatch.setattr(model, "_em", lambda *args: next(first, None) or whole(*args))
+    assert [x[0] for x in model.infer(EN * 20 + FR * 10)] == ["en", "fr"]
+
+
 def test_long_texts_are_read_whole(model, monkeypatch):
     whole = langmix.trigrams(EN * 50)
     monkeypatch.setattr(langmix, "CHUNK", 100)

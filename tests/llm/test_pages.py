@@ -100,8 +100,50 @@ def test_links_at_the_ends_of_an_article_stay():
     assert mainblock.main_text("<p>A long line outside of it.</p><main><a href=x>One</a><p><a href=y>Two</a></p></main>") == "One\nTwo"
 
 
+LONG = "a story goes on and on " * 10
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<html><head><title>t</title><meta x><body><article><p>Text</p></article>", "Text"),
+        (f"<html><head><title>t</title><style>p{{}}</style><body><p>{LONG}</p>", LONG.strip()),
+        (f"<p>{LONG}</p><svg><path d=1><p>after it</p>", f"{LONG.strip()}\nafter it"),
+        ("<p>a<svg><title>x</title><text>no</text></svg>b</p>", "ab"),
+        ("<div><iframe src=x><p>after</p></div>", "after"),
+        ("<template><p>after</p>", "after"),
+        ("<title>t<textarea>u<p>after</p>", "tu\nafter"),
+        ("<p>kept</p><script>var x = '<p>lost</p>'", "kept"),
+        ("<article><p>main text</p></article><article class='comment'><p>I say much more of it</p></article>", "main text"),
+        ("<article><p>main text</p><div id=comments><article><p>I say much more of it</p></article></div><p>end</p></article>", "main text\nend"),
+        ("<article><header><h1>Title</h1><p>by X share now</p></header><p>body</p><footer>f</footer></article>", "Title\nbody"),
+        (f"<body><header><h1>Site</h1></header><div class='content no-sidebar'><p>{LONG}</p></div></body>", LONG.strip()),
+        (f"<form id=whole><nav>menu</nav><p>{LONG}</p><p>second</p></form>", f"{LONG.strip()}\nsecond"),
+        (f"<div class=sidebar><p>{LONG}</p></div><p>short</p>", f"{LONG.strip()}\nshort"),
+        (f"<div class=sidebar><p>short</p></div><p>{LONG}</p><div class='site-footer'>imprint</div>", LONG.strip()),
+        (f"<div class=comments><p>{LONG}</p></div><p>short</p>", "short"),
+        ("<button>b<p>para</p><article>art</article>", "art"),
+        ("<div><nav>never closed<p>menu</p></div><p>text</p>", "text"),
+        ("<article><header><p>x</p></article><p>y</p>", "y"),
+        ("<article><p>one</p></article><p>teaser</p><article><p>two</p></article>", "one\ntwo"),
+        (f"<main><p>{LONG}</p></main>{'<p>between</p>' * 5}<main><p>short</p></main>", LONG.strip()),
+        ("<p>a</p></div></div><p>b</p>", "a\nb"),
+        (f"{'<div><a href=x>Topic</a></div>' * 5}<h1>Name</h1><p>{LONG}</p><p>End.</p>{'<div><a href=x>Topic</a></div>' * 5}", f"Name\n{LONG.strip()}\nEnd."),
+    ],
+)
+def test_surge_and_dive_on_pages_of_all_kinds(page, want):
+    assert mainblock.main_text(page) == want
+
+
+def test_the_threshold_decides(monkeypatch):
+    page = f"<article><p>{'few words of an article here ' * 2}</p></article><p>{'a far longer text outside ' * 200}</p>"
+    assert mainblock.main_text(page).startswith("a far longer text")
+    monkeypatch.setattr(mainblock, "MARKED_WEIGHT", 1000)
+    assert mainblock.main_text(page).startswith("few words")
+
+
 def test_hard_pages_take_linear_time(pages):
-    for page in ["<a " * 100_000, "<" * 300_000, "<p \"" * 50_000, "<!--" * 100_000, "<script>" * 50_000, "<div class='ad'>" * 50_000, "<p>" + "x" * 1_000_000]:
+    for page in ["<svg>" * 50_000, "<svg><p></svg>" * 30_000, "<svg><b>" * 30_000 + "<p>", "<textarea>" * 50_000, "<article>" * 50_000, "<header>" * 50_000, "<form>x" * 50_000, "<nav><article>" * 30_000, "</p>" * 100_000, "<p>x</div>" * 50_000, "<a " * 100_000, "<" * 300_000, "<p \"" * 50_000, "<!--" * 100_000, "<script>" * 50_000, "<div class='ad'>" * 50_000, "<p>" + "x" * 1_000_000]:
         mainblock.main_text(page)
 
 

@@ -6,6 +6,8 @@ returns the columns of its contract.
 
 from __future__ import annotations
 
+from itertools import combinations_with_replacement
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,18 +33,20 @@ def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
         F.sha2(said(base), 256).alias("base_sha256"),
         said(F.col("findings")).alias("spans"),
+        F.array_join(F.transform("findings", lambda x: F.concat_ws("/", x["n_repos"], x["n_owners"])), ",").alias("repos_owners"),
         "n_live",
         "n_examples",
     )
 
 
 def op2_transport_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document through a stream, with the time stamps and random-access points read back."""
     media = transport.write_streams(_read(spark, sf_dir, "documents"), "doc_id", "text")
-    return transport.read_streams(media, "doc_id").drop("stamps", "random_access", "continuity_errors")
+    return transport.read_streams(media, "doc_id").drop("continuity_errors")
 
 
 def op3_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its class, the links to its repeated paragraphs and passages, and the word ranges to remove."""
+    """Every document with its class, the links to its repeated paragraphs and passages, the word ranges to remove, and short repeats."""
     return paragraphs.classes(_read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
@@ -73,7 +77,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = positional.contamination(_read(spark, sf_dir, "documents"), "doc_id", "text", _read(spark, sf_dir, "benchmark"), "item_id", "text")
-    return found.drop("items", "spans")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", F.size("near").cast("long").alias("n_near"))
 
 
 def op10_main_block(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +87,8 @@ def op10_main_block(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_secret_ownership, op2_transport_streams, op3_paragraph_minhash, op4_byte_bpe, op5_warc_index, op6_toxicity_deobfuscated, op7_language_mixture, op8_simhash, op9_positional_decontamination, op10_main_block)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+')"
+#: The offsets at which the n words of a window may stand with at most two others between.
+_GAPS = [(n, [0, *(k + sum(g <= k for g in gaps) for k in range(1, n))]) for n in range(1, 9) for slop in range(3) for gaps in combinations_with_replacement(range(1, n), slop)]
 _BITS = "array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(strpos('0123456789abcdef', sha[i]) - 1), 4, '0')), '')"
 _BASE32 = "array_to_string(list_transform(range(0, 32), lambda k: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + CAST('0b' || bits[5 * k + 1:5 * k + 5] AS INTEGER)]), '')"
 _PLAIN = "x"
@@ -101,8 +107,11 @@ bw AS (SELECT DISTINCT item_id, least(len(w), 8) AS n, array_to_string(w[i:i + l
 dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM d, (SELECT DISTINCT n FROM bw) s, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i) g),
 m AS (SELECT dw.doc_id, dw.i, dw.n, bw.item_id FROM dw JOIN bw USING (n, win)),
 h AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM m, LATERAL (SELECT unnest(range(i, i + n)) AS k) g GROUP BY 1),
+g AS (SELECT * FROM (VALUES {", ".join(f"({n}, {at}::INTEGER[])" for n, at in _GAPS)}) v(n, o) WHERE n IN (SELECT n FROM bw)),
+nw AS (SELECT doc_id, n, array_to_string(list_transform(o, lambda x: w[i + x]), ' ') AS win FROM d, g, LATERAL (SELECT unnest(range(1, len(w) - o[-1] + 1)) AS i) k),
+q AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM nw JOIN bw USING (n, win) GROUP BY 1),
 t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY 1)
-SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_items, 0) >= 2 AS contaminated FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_items, 0) >= 2 AS contaminated, coalesce(n_near, 0) AS n_near FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id) LEFT JOIN q USING (doc_id)""",
     # the generated pages have one article each, of h1, p, b and br elements and four character references
     "op10_main_block": f"""WITH a AS (SELECT page_id, url, regexp_split_to_array(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)(?:</article>|$)', 1), '</?b>', '', 'g'), '</?(?:h1|p|br)>') AS l FROM pages),
 t AS (SELECT page_id, url, array_to_string(list_filter(list_transform(l, lambda x: {_PLAIN}), lambda x: x <> ''), chr(10)) AS text FROM a)

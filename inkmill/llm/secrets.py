@@ -2,13 +2,15 @@
 
 A scan finds candidate secrets in every text: assignments to secret-like names, access keys, long hex
 runs, and free-standing random-looking tokens.  The hash of every candidate's value is then aggregated
-over the whole corpus by distinct repositories and distinct owners.  A value that many owners share is a
-copied example; one that stays with few owners looks live.  Random-looking tokens become findings only
-where their ownership says that they are live; the other kinds are always findings.
+over the whole corpus by distinct repositories and distinct owners.  A value that many owners share, or
+several owners in many repositories, is a copied example; one that stays with one owner, or with few in few
+repositories, looks live.  Random-looking tokens become findings only where their ownership says that they
+are live; the other kinds are always findings.
 
 Defined cases: a null text is empty; a null owner or repository counts as one owner or repository of its
-own; repeated rows are separate rows with equal results; input columns other than the four named ones
-are ignored; an empty table gives an empty table.  Spans are half-open in code points.
+own, other than an empty name; a repository under two owners is one repository; repeated rows are separate
+rows with equal results; input columns other than the four named ones are ignored; an empty table gives an
+empty table; very long texts are scanned whole in linear time.  Spans are half-open in code points.
 
 At scale: texts are read once and never shuffled.  What moves are candidate hashes, aggregated first by
 (hash, owner, repository) in each task.  The verdict table is joined as a plain equi-join of two written
@@ -27,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import map_rows, store
+from inkmill.llm.common import map_rows, small, store
 
 # The base patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -38,8 +40,9 @@ KINDS = ("assign", "access", "hex", "live")
 #: Random-looking tokens: at least so long, with all three character classes, and so many bits a character.
 FREE = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[a-z+/_-]*[A-Z0-9])[A-Za-z0-9+/_-]{20,}={0,2}")
 MIN_BITS = 3.5
-#: A value of more owners than this is a copied example.
+#: A value of more owners than this is a copied example, and so is one of several owners in more repositories than this.
 MAX_OWNERS = 2
+MAX_REPOS = 20
 
 
 def entropy(value: str) -> float:
@@ -58,9 +61,15 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
 def free_spans(text: str, taken: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
     """Random-looking tokens that overlap no base span."""
     out = []
+    starts, ends = sorted(x[0] for x in taken), sorted(x[1] for x in taken)
+    opened = closed = 0
     for m in FREE.finditer(text):
         v = m[0]
-        if any(a < m.end() and m.start() < b for a, b, _, _ in taken):
+        while opened < len(starts) and starts[opened] < m.end():
+            opened += 1
+        while closed < len(ends) and ends[closed] <= m.start():
+            closed += 1
+        if opened > closed:  # some span begins before this token's end and has not ended at its start
             continue
         if re.search("[a-z]", v) and re.search("[A-Z]", v) and re.search("[0-9]", v) and entropy(v) >= MIN_BITS:
             out.append((m.start(), m.end(), "live", v))
@@ -88,29 +97,31 @@ def scan(df: DataFrame, key: str, text: str, repo: str, owner: str) -> DataFrame
     return store(map_rows(picked, f"rid long, k {kind}, repo string, owner string, candidates array<struct<a:int,b:int,kind:string,hash:binary>>", rows), "secrets")
 
 
-def ownership(found: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """(hash, n_repos, n_owners, n_rows, live) of every candidate value in the corpus."""
-    one = found.select(F.explode("candidates.hash").alias("hash"), F.coalesce("repo", F.lit("")).alias("repo"), F.coalesce("owner", F.lit("")).alias("owner"))
-    # three steps of partial sums: a value with a third of all rows is never gathered
-    by_repo = one.groupBy("hash", "owner", "repo").agg(F.count("*").alias("n"))
-    by_owner = by_repo.groupBy("hash", "owner").agg(F.count("*").alias("repos"), F.sum("n").alias("n"))
-    return by_owner.groupBy("hash").agg(F.sum("repos").alias("n_repos"), F.count("*").alias("n_owners"), F.sum("n").alias("n_rows")).withColumn("live", F.col("n_owners") <= max_owners)
+def ownership(found: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
+    """Written table (hash, n_repos, n_owners, n_rows, live) of every candidate value in the corpus."""
+    one = found.select(F.explode("candidates.hash").alias("hash"), "repo", "owner")
+    # partial sums before every exchange: a value with a third of all rows is never gathered
+    places = store(one.groupBy("hash", "owner", "repo").agg(F.count("*").alias("n")), "places")
+    owners = places.groupBy("hash", "owner").agg(F.sum("n").alias("n")).groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_rows"))
+    repos = places.groupBy("hash", "repo").agg(F.lit(1).alias("one")).groupBy("hash").agg(F.count("*").alias("n_repos"))
+    live = (F.col("n_owners") == 1) | (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)
+    return store(owners.join(repos, "hash").select("hash", "n_repos", "n_owners", "n_rows", live.alias("live")), "owners")
 
 
-def find_secrets(df: DataFrame, key: str, text: str, repo: str, owner: str, max_owners: int = MAX_OWNERS) -> DataFrame:
+def find_secrets(df: DataFrame, key: str, text: str, repo: str, owner: str, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """One row per input row: (key, findings, n_live, n_examples).
 
-    ``findings`` is an array of (a, b, kind, live) by start and kind; free-standing tokens are in it only if live.
-    A repository is counted once for every owner that it appears under.
+    ``findings`` is an array of (a, b, kind, live, n_repos, n_owners) by start and kind; free-standing tokens are in
+    it only if live.
     """
     found = scan(df, key, text, repo, owner)
-    verdict = store(ownership(found, max_owners), "owners").select("hash", "live")
+    verdict = ownership(found, max_owners, max_repos).select("hash", "live", "n_repos", "n_owners")
     each = found.filter(F.size("candidates") > 0).select("rid", F.explode("candidates").alias("c")).select("rid", "c.*")
-    judged = each.join(verdict, "hash").filter("kind <> 'live' or live")
+    judged = each.join(F.broadcast(verdict) if small(verdict) else verdict, "hash").filter("kind <> 'live' or live")
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
-    per_row = judged.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("a", order.alias("o"), "b", "kind", "live"))).alias("s"))
-    findings = F.transform("s", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), x["kind"].alias("kind"), x["live"].alias("live")))
-    empty = F.array().cast("array<struct<a:int,b:int,kind:string,live:boolean>>")
+    per_row = judged.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("a", order.alias("o"), "b", "kind", "live", "n_repos", "n_owners"))).alias("s"))
+    findings = F.transform("s", lambda x: F.struct(*(x[c].alias(c) for c in ("a", "b", "kind", "live", "n_repos", "n_owners"))))
+    empty = F.array().cast("array<struct<a:int,b:int,kind:string,live:boolean,n_repos:bigint,n_owners:bigint>>")
     out = found.select("rid", "k").join(per_row.select("rid", findings.alias("findings")), "rid", "left").withColumn("findings", F.coalesce("findings", empty))
     return out.select(F.col("k").alias(key), "findings", F.size(F.filter("findings", lambda x: x["live"])).cast("long").alias("n_live"), F.size(F.filter("findings", lambda x: ~x["live"])).cast("long").alias("n_examples"))
 

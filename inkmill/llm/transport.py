@@ -2,12 +2,16 @@
 
 ``mux`` lays a payload out as access units in PES packets, carried by 188-byte transport packets with
 program tables, continuity counters, clock references and random-access flags.  ``demux`` reads such a
-stream back: it parses the program tables (with their checksums), checks continuity, reassembles the
-elementary packets and lists every time stamp and random-access point.
-
-Defined cases: a null text is an empty text; an empty payload gives one padding block of zeros; repeated
-rows give repeated results; an empty table gives an empty table; input columns other than the two named
-ones are ignored, so clashing names do no harm.  Nothing is shuffled: rows are independent of each other.
+stream back, or another one: it parses the program tables (sections of any number of packets, with their
+checksums), checks the continuity counters, reassembles the elementary packets and keeps every time stamp and
+random-access point.
+
+Defined cases: a null text is an empty text; an empty payload gives one padding block of zeros; very long texts
+make long streams, of which one at a time is in memory; repeated rows give repeated results; an empty table
+gives an empty table; input columns other than the two named ones are ignored, so clashing names do no harm.
+A packet that is sent twice counts once; a counter may jump where the discontinuity flag says so; a jump
+elsewhere is counted and ends the section that it cuts; a PES packet without a stamp has a null one, and one of
+no given length goes on to the next.  Nothing is shuffled: rows are independent of each other.
 """
 
 from __future__ import annotations
@@ -119,6 +123,11 @@ def mux(payload: bytes, unit: int = UNIT, rap_every: int = RAP_EVERY) -> bytes:
     return b"".join(out)
 
 
+#: PES stream ids whose packets have no further header; the second one is padding.
+BARE = frozenset([0xBC, 0xBE, 0xBF, 0xF0, 0xF1, 0xF2, 0xF8, 0xFF])
+PADDING = 0xBE
+
+
 @dataclass
 class Stream:
     """What ``demux`` found."""
@@ -127,34 +136,74 @@ class Stream:
     packets: int = 0
     bad_sections: int = 0
     continuity_errors: int = 0
-    stamps: list[int] = field(default_factory=list)
+    stamps: list[int | None] = field(default_factory=list)  # of the PES packets of all elementary streams
     random_access: list[int] = field(default_factory=list)  # numbers of the PES packets flagged
-    payload: bytes = b""
+    payloads: dict[int, bytes] = field(default_factory=dict)  # by PID
+
+    @property
+    def payload(self) -> bytes:
+        return b"".join(self.payloads.values())
 
     def feature(self) -> str:
         pids = ";".join(f"{p}:{pid:04x}/{kind:02x}" for p, found in sorted(self.programs.items()) for pid, kind in found)
-        span = f"{self.stamps[0]}-{self.stamps[-1]}" if self.stamps else "-"
+        known = [t for t in self.stamps if t is not None]
+        span = f"{known[0]}-{known[-1]}" if known else "-"
         return f"prog={pids} packets={self.packets} pes={len(self.stamps)} rap={len(self.random_access)} pts={span} cc_err={self.continuity_errors} crc_err={self.bad_sections}"
 
 
+def _carried(rows: np.ndarray, stream: Stream) -> tuple[np.ndarray, np.ndarray]:
+    """Packets of one PID that carry payload, each once, and which of them a counter's jump precedes."""
+    rows = rows[(rows[:, 3] & 0x10) > 0]
+    if len(rows) < 2:
+        return rows, np.zeros(len(rows), bool)
+    step = np.diff(rows[:, 3].astype(np.int32) & 15, prepend=(int(rows[0, 3]) & 15) - 1) & 15
+    twice = step == 0
+    twice[twice] = (rows[twice] == rows[np.flatnonzero(twice) - 1]).all(1)
+    rows, step = rows[~twice], step[~twice]
+    told = ((rows[:, 3] & 0x20) > 0) & (rows[:, 4] > 0) & ((rows[:, 5] & 0x80) > 0)
+    jump = (step != 1) & ~told
+    jump[0] = False
+    stream.continuity_errors += int(jump.sum())
+    return rows, jump
+
+
+def _body(row: bytes) -> int:
+    return 5 + row[4] if row[3] & 0x20 else 4
+
+
 def _sections(packets: np.ndarray, stream: Stream) -> Iterator[tuple[int, bytes]]:
-    """(table id extension, body) of the sections that start in these packets; bad checksums are counted."""
-    for row in packets:
-        if not row[1] & 0x40:
-            continue
+    """(table id extension, body) of all current sections in packets of one PID; bad checksums are counted."""
+    held: bytearray | None = None  # from the start of a section on
+    for row, jump in zip(*_carried(packets, stream), strict=True):
         data = row.tobytes()
-        at = 4 + (data[4] + 1 if data[3] & 0x20 else 0)
-        at += data[at] + 1
-        length = (data[at + 1] & 15) << 8 | data[at + 2]
-        section = data[at : at + 3 + length]
-        if section_crc(section[:-4]) != int.from_bytes(section[-4:], "big"):
-            stream.bad_sections += 1
-            continue
-        yield section[3] << 8 | section[4], section[8:-4]
+        part = data[_body(data) :]
+        if jump:
+            held = None
+        parts = [part]
+        if data[1] & 0x40 and part:  # a section starts behind the rest of the last one
+            parts = [part[1 : 1 + part[0]], part[1 + part[0] :]]
+        for number, piece in enumerate(parts):
+            if number:
+                held = bytearray()
+            if held is None:
+                continue
+            held += piece
+            while held is not None and len(held) >= 3:
+                length = 3 + ((held[1] & 15) << 8 | held[2])
+                if held[0] == 0xFF:
+                    held = None
+                elif len(held) < length:
+                    break
+                else:
+                    section, held = bytes(held[:length]), held[length:]
+                    if length < 12 or section_crc(section[:-4]) != int.from_bytes(section[-4:], "big"):
+                        stream.bad_sections += 1
+                    elif section[5] & 1:  # else it tells of a table to come
+                        yield section[3] << 8 | section[4], section[8:-4]
 
 
 def demux(data: bytes) -> Stream:
-    """Parse a transport stream; raises ValueError where packets lack their sync byte."""
+    """Parse a transport stream; raises ValueError where packets lack their sync byte or PES packets their start code."""
     if len(data) % PACKET:
         raise ValueError("not a whole number of transport packets")
     grid = np.frombuffer(data, np.uint8).reshape(-1, PACKET)
@@ -162,44 +211,52 @@ def demux(data: bytes) -> Stream:
         raise ValueError("sync byte lost")
     stream = Stream(packets=len(grid))
     pid = (grid[:, 1] & 0x1F).astype(np.int32) << 8 | grid[:, 2]
-    maps: dict[int, int] = {}
+    maps: dict[int, None] = {}
     for _, body in _sections(grid[pid == PAT_PID], stream):
-        for at in range(0, len(body), 4):
-            maps[(body[at + 2] & 31) << 8 | body[at + 3]] = body[at] << 8 | body[at + 1]
+        for at in range(0, len(body) - 3, 4):
+            if body[at] or body[at + 1]:  # program 0 is the network's table
+                maps[(body[at + 2] & 31) << 8 | body[at + 3]] = None
     for table_pid in maps:
         for program, body in _sections(grid[pid == table_pid], stream):
             found, at = [], 4 + ((body[2] & 15) << 8 | body[3])
-            while at < len(body):
+            while at + 5 <= len(body):
                 found.append(((body[at + 1] & 31) << 8 | body[at + 2], body[at]))
                 at += 5 + ((body[at + 3] & 15) << 8 | body[at + 4])
             stream.programs[program] = found
-    for wanted in [PAT_PID, *maps]:
-        stream.continuity_errors += _gaps(grid[pid == wanted])
-    parts = []
-    for es_pid in [p for found in stream.programs.values() for p, _ in found]:
-        rows = grid[pid == es_pid]
-        stream.continuity_errors += _gaps(rows)
-        start = np.where(rows[:, 3] & 0x20, rows[:, 4].astype(np.int32) + 5, 4)
-        flags = np.where((rows[:, 3] & 0x20).astype(bool) & (rows[:, 4] > 0), rows[:, 5], 0)
-        held = rows[np.arange(PACKET) >= start[:, None]].tobytes()
-        begins = np.flatnonzero(rows[:, 1] & 0x40)
-        offsets = np.concatenate([[0], np.cumsum(PACKET - start)])
-        for number, (a, b) in enumerate(zip(begins, [*begins[1:], len(rows)], strict=True)):
-            pes = held[offsets[a] : offsets[b]]
-            if pes[:3] != b"\x00\x00\x01":
-                raise ValueError("a PES packet lacks its start code")
-            if flags[a] & 0x40:
-                stream.random_access.append(number)
-            t = pes[9:14]
-            stream.stamps.append((t[0] >> 1 & 7) << 30 | t[1] << 22 | t[2] >> 1 << 15 | t[3] << 7 | t[4] >> 1)
-            parts.append(pes[9 + pes[8] : 6 + int.from_bytes(pes[4:6], "big")])
-    stream.payload = b"".join(parts)
+    for es_pid in dict.fromkeys(p for _, found in sorted(stream.programs.items()) for p, _ in found):
+        stream.payloads[es_pid] = _elementary(grid[pid == es_pid], stream)
     return stream
 
 
-def _gaps(rows: np.ndarray) -> int:
-    counter = rows[(rows[:, 3] & 0x10) > 0, 3] & 15
-    return int(((np.diff(counter.astype(np.int32)) & 15) != 1).sum())
+def _elementary(packets: np.ndarray, stream: Stream) -> bytes:
+    """The payload of an elementary stream; its stamps and random-access points are appended to ``stream``."""
+    rows, _ = _carried(packets, stream)
+    extra = (rows[:, 3] & 0x20) > 0
+    start = np.where(extra, rows[:, 4].astype(np.int32) + 5, 4)
+    flags = np.where(extra & (rows[:, 4] > 0), rows[:, 5], 0)
+    held = rows[np.arange(PACKET) >= start[:, None]].tobytes()
+    begins = np.flatnonzero(rows[:, 1] & 0x40)
+    offsets = np.concatenate([[0], np.cumsum(np.maximum(PACKET - start, 0))])
+    parts = []
+    for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(rows)], strict=True):
+        pes = held[offsets[a] : offsets[b]]
+        if pes[:3] != b"\x00\x00\x01" or len(pes) < 6:
+            raise ValueError("a PES packet lacks its start code")
+        if pes[3] == PADDING:
+            continue
+        size = int.from_bytes(pes[4:6], "big")
+        end = 6 + size if size else len(pes)
+        head, stamp = 6, None
+        if pes[3] not in BARE and len(pes) >= 9:
+            head = 9 + pes[8]
+            if pes[7] & 0x80 and len(pes) >= 14:
+                t = pes[9:14]
+                stamp = (t[0] >> 1 & 7) << 30 | t[1] << 22 | t[2] >> 1 << 15 | t[3] << 7 | t[4] >> 1
+        if flags[a] & 0x40:
+            stream.random_access.append(len(stream.stamps))
+        stream.stamps.append(stamp)
+        parts.append(pes[head:end])
+    return b"".join(parts)
 
 
 def padded(text: str | None) -> tuple[int, bytes]:
@@ -226,8 +283,8 @@ def read_streams(df: DataFrame, key: str) -> DataFrame:
     def rows(source: Iterator[tuple]) -> Iterator[tuple]:
         for k, n, media in source:
             s = demux(media)
-            tail = zlib.crc32(s.payload[-BLOCK:])
-            yield k, n, len(s.payload), hashlib.sha256(s.payload).hexdigest(), tail, len(media), hashlib.sha256(media).hexdigest(), s.feature(), s.continuity_errors, s.stamps, s.random_access
+            payload = s.payload
+            yield k, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), s.feature(), s.continuity_errors, s.stamps, s.random_access
 
     kind = df.schema[key].dataType.simpleString()
     return map_rows(df.select(key, "n_bytes", "media"), f"{key} {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, continuity_errors long, stamps array<long>, random_access array<int>", rows)

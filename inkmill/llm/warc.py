@@ -1,19 +1,24 @@
 """WARC archives with a two-level capture index.
 
-Captures become WARC records, each its own gzip member, in archives that are kept as segments of bounded
-size in a shared table.  A capture whose payload occurs elsewhere becomes a revisit of the one with the
-largest id.  The index sorts captures by reversed-host URL keys into compressed blocks; a sparse
-directory holds the first key of every block.  A lookup binary-searches the directory, opens one block,
-binary-searches its lines, and reads just that range of the archive.  A directory too large to send
-around is itself packed into blocks under a sparser one.
+Captures become WARC records, each its own gzip member, in archive files of bounded size in the shared
+folder.  A capture whose payload occurs elsewhere becomes a revisit of the one with the largest id.  The index
+sorts captures by reversed-host URL keys into compressed blocks; a sparse directory holds the first key of
+every block.  A lookup binary-searches the directory, opens one block, binary-searches its lines, and reads
+just that range of the archive file.  A directory too large to send around is itself packed into blocks under
+a sparser one.
 
-Defined cases: a null page is an empty payload and a null URL an empty one; rows that repeat an id and
-payload are responses alike; rows without an id revisit like any other and are never referred to;
-clashing columns are ignored; an empty table gives an empty table.
+Where Python cannot open the shared folder (a file system that only Spark reads), the archives are segments
+of bounded size in a table instead, and a lookup opens the segments that hold its ranges.
+
+Defined cases: a null page is an empty payload and a null URL an empty one; a very long page is one record, of
+which a task holds one at a time; rows that repeat an id and payload are responses alike; rows without an id
+revisit like any other and are never referred to; clashing columns are ignored; an empty table gives an empty
+table.  A repeated task writes files of other names, and only those that its committed rows name are read.
 
 At scale: pages are shuffled only where the table of repeated payloads is too large to broadcast; then
 the join's two sides are plain exchanges, which adaptive execution splits where one payload is frequent.
-Index keys end in the capture's id, so that one frequent URL is spread over range partitions.
+Index keys end in the capture's id, so that one frequent URL is spread over range partitions.  Archives are
+never shuffled.
 """
 
 from __future__ import annotations
@@ -21,17 +26,22 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import uuid
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from urllib.parse import quote, unquote, urlsplit
 
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import map_rows, store
+from inkmill.llm.common import map_rows, new_path, small, store
 
+#: An archive file ends at so many bytes; ranges within so many are read by one task.
+ARCHIVE_BYTES = 1 << 30
+STRETCH_BYTES = 1 << 22
 #: A segment ends at so many compressed bytes or records.
 SEGMENT_BYTES = 1 << 20
 SEGMENT_RECORDS = 512
@@ -39,8 +49,6 @@ SEGMENT_RECORDS = 512
 BLOCK_LINES = 3_000
 #: Blocks whose directory may be broadcast: some 100 bytes each.
 DIRECTORY_ROWS = 200_000
-#: Repeated payloads whose table may be broadcast: some 60 bytes each.
-REPEATED_ROWS = 200_000
 #: The crawl's date; a parameter, since the tables have none.
 DATE = "2024-01-01T00:00:00Z"
 LEVEL = 4
@@ -66,10 +74,18 @@ def _uri(page_id: int | None) -> str:
     return f"<urn:x-page:{'' if page_id is None else page_id}>"
 
 
+def _target(url: str | None) -> list[str]:
+    """The header lines of a URL; one that a line can't hold is told a second time in a form that can be undone."""
+    url = url or ""
+    if re.fullmatch(r"[^\x00-\x20\x7f](?:[^\x00-\x1f\x7f]*[^\x00-\x20\x7f])?|", url):
+        return [f"WARC-Target-URI: {url}"]
+    return [f"WARC-Target-URI: {quote(url, safe='%:/?#[]@!$&()*+,;=~')}", f"X-Target-URI: {quote(url, safe='')}"]
+
+
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str = DATE) -> bytes:
     """A WARC record: a response, or a revisit where ``refers_to`` is given."""
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {_uri(page_id)}", f"WARC-Date: {date}", f"WARC-Target-URI: {quote(url or '', safe='%:/?#[]@!$&()*+,;=~')}", f"WARC-Payload-Digest: sha1:{digest}"]
+    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {_uri(page_id)}", f"WARC-Date: {date}", *_target(url), f"WARC-Payload-Digest: sha1:{digest}"]
     if refers_to is None:
         block += payload
     else:
@@ -94,7 +110,7 @@ def parse(data: bytes) -> dict:
     if kind == "response" and (len(payload) != size or base32_sha1(payload) != digest):
         raise ValueError("a payload differs from its digest")
     refers = fields.get("WARC-Refers-To")
-    return {"page_id": number(fields["WARC-Record-ID"]), "url": unquote(fields["WARC-Target-URI"]), "type": kind, "payload": payload, "payload_bytes": size, "digest": digest, "refers_to": None if refers is None else number(refers)}
+    return {"page_id": number(fields["WARC-Record-ID"]), "url": unquote(fields["X-Target-URI"]) if "X-Target-URI" in fields else fields["WARC-Target-URI"], "type": kind, "payload": payload, "payload_bytes": size, "digest": digest, "refers_to": None if refers is None else number(refers)}
 
 
 def _member(data: bytes) -> bytes:
@@ -102,26 +118,79 @@ def _member(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
-def write_archives(df: DataFrame, key: str, url: str, page: str, min_revisit: int = 0) -> DataFrame:
-    """Written table (archive, segment, data, entries): the archives of all rows, in segments.
+def _open(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system and path of a Hadoop-style location."""
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), unquote(urlsplit(uri).path)
+    if "://" not in uri:
+        return fs.LocalFileSystem(), uri
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
-    Payloads of fewer than ``min_revisit`` bytes are all responses.
-    """
+
+def _folder(df: DataFrame) -> str | None:
+    """A new folder for archive files, or None where Python can't open the shared one."""
+    uri = new_path(df.sparkSession, "archives")
+    try:
+        files, path = _open(uri)
+        files.create_dir(path)
+        return uri
+    except (OSError, ValueError, ImportError):
+        return None
+
+
+def _members(df: DataFrame, key: str, url: str, page: str, min_revisit: int) -> DataFrame:
+    """(id, url, html, sha, keeper): what the records are made of; keeper is null for payloads without copies."""
     picked = df.select(F.col(key).cast("long").alias("id"), F.col(url).alias("url"), F.coalesce(F.col(page), F.lit("")).alias("html"))
     picked = picked.withColumn("sha", F.unhex(F.sha1("html")))
     sizes = picked.select("id", "sha", F.octet_length("html").alias("n"))
     repeated = sizes.filter(F.col("n") >= min_revisit).groupBy("sha").agg(F.max("id").alias("keeper"), F.count("*").alias("copies"))
     repeated = store(repeated.filter("copies > 1").select("sha", "keeper"), "repeated")
-    small = repeated.count() <= REPEATED_ROWS
-    joined = picked.join(F.broadcast(repeated) if small else repeated, "sha", "left").select("id", "url", "html", "sha", "keeper")
+    return picked.join(F.broadcast(repeated) if small(repeated) else repeated, "sha", "left").select("id", "url", "html", "sha", "keeper")
 
-    def rows(source: Iterator[tuple]) -> Iterator[tuple]:
+
+def _encoded(source: Iterator[tuple]) -> Iterator[tuple[str, int | None, bytes]]:
+    """(index key, id, gzip member) of the rows of ``_members``."""
+    for i, u, text, sha, keeper in source:
+        refers = keeper if keeper is not None and keeper != i else None
+        yield surt(u), i, _member(record(i, u, text.encode(), base64.b32encode(bytes(sha)).decode(), refers))
+
+
+ENTRIES = "archive string, segment int, data binary, entries array<struct<key:string,id:long,offset:long,length:int>>"
+
+
+def write_archives(df: DataFrame, key: str, url: str, page: str, min_revisit: int = 0, files: bool = True) -> DataFrame:
+    """Written table ENTRIES of all captures: their archive and place, and, where there are no files, the bytes.
+
+    Payloads of fewer than ``min_revisit`` bytes are all responses.
+    """
+    folder = _folder(df) if files else None
+
+    def written(source: Iterator[tuple]) -> Iterator[tuple]:
+        name, out, at, entries = "", None, 0, []
+        for k, i, data in _encoded(source):
+            if out is None:
+                name = f"{folder}/{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.gz"
+                system, path = _open(name)
+                out, at = system.open_output_stream(path, compression=None), 0
+            entries.append({"key": k, "id": i, "offset": at, "length": len(data)})
+            out.write(data)
+            at += len(data)
+            if at >= ARCHIVE_BYTES:
+                out.close()
+                out = None
+            if len(entries) >= SEGMENT_RECORDS or out is None:
+                yield name, None, None, entries
+                entries = []
+        if out is not None:
+            out.close()
+        if entries:
+            yield name, None, None, entries
+
+    def packed(source: Iterator[tuple]) -> Iterator[tuple]:
         archive = f"{TaskContext.get().partitionId():06d}.warc.gz"
         segment, parts, entries, size = 0, [], [], 0
-        for i, u, text, sha, keeper in source:
-            refers = keeper if keeper is not None and keeper != i else None
-            data = _member(record(i, u, text.encode(), base64.b32encode(bytes(sha)).decode(), refers))
-            entries.append({"key": surt(u), "id": i, "offset": size, "length": len(data)})
+        for k, i, data in _encoded(source):
+            entries.append({"key": k, "id": i, "offset": size, "length": len(data)})
             parts.append(data)
             size += len(data)
             if size >= SEGMENT_BYTES or len(parts) >= SEGMENT_RECORDS:
@@ -130,13 +199,19 @@ def write_archives(df: DataFrame, key: str, url: str, page: str, min_revisit: in
         if parts:
             yield archive, segment, b"".join(parts), entries
 
-    return store(map_rows(joined, "archive string, segment int, data binary, entries array<struct<key:string,id:long,offset:int,length:int>>", rows), "archives")
+    return store(map_rows(_members(df, key, url, page, min_revisit), ENTRIES, written if folder else packed), "captures")
 
 
 def export_archives(archives: DataFrame, archive: str) -> Iterator[bytes]:
-    """The bytes of one archive as a regular .warc.gz file, segment by segment."""
-    for r in archives.filter(F.col("archive") == archive).select("segment", "data").orderBy("segment").toLocalIterator():
-        yield bytes(r["data"])
+    """The bytes of one archive as a regular .warc.gz file, piece by piece."""
+    if not archives.filter("data is not null").isEmpty():
+        for r in archives.filter(F.col("archive") == archive).select("segment", "data").orderBy("segment").toLocalIterator():
+            yield bytes(r["data"])
+        return
+    files, path = _open(archive)
+    with files.open_input_file(path) as f:
+        while piece := f.read(STRETCH_BYTES):
+            yield piece
 
 
 # -- the index -----------------------------------------------------------------------------------------
@@ -169,12 +244,12 @@ def _pack(lines: DataFrame) -> DataFrame:
 
 
 def build_index(archives: DataFrame) -> DataFrame:
-    """Blocks of the capture index of ``write_archives``: sorted lines of key, archive, segment, offset and length."""
+    """Blocks of the capture index of ``write_archives``: sorted lines of key, segment, offset, length and archive."""
 
     def rows(source: Iterator[tuple]) -> Iterator[tuple]:
         for archive, segment, entries in source:
             for e in entries:
-                yield _line_key(e["key"], e["id"]), f"{archive} {segment} {e['offset']} {e['length']}"
+                yield _line_key(e["key"], e["id"]), f"{'-' if segment is None else segment} {e['offset']} {e['length']} {archive}"
 
     return _pack(map_rows(archives.select("archive", "segment", "entries"), "key string, value string", rows))
 
@@ -221,7 +296,7 @@ def _fetch(queries: DataFrame, blocks: DataFrame, limit: int, exact: bool = True
 def lookup(captures: DataFrame, archives: DataFrame, blocks: DataFrame, directory_rows: int = DIRECTORY_ROWS, payload: bool = False) -> DataFrame:
     """Read the records of ``captures(url, id)`` through the index: one row for each record found.
 
-    Equal captures are asked for once.  A block is opened once for all its queries, and a segment is read
+    Equal captures are asked for once.  A block is opened once for all its queries, and a stretch of an archive
     once for all its ranges; both hold a bounded number of records.
     """
 
@@ -230,19 +305,35 @@ def lookup(captures: DataFrame, archives: DataFrame, blocks: DataFrame, director
             yield (_line_key(surt(u), i),)
 
     queries = map_rows(captures.select("url", "id"), "query string", keyed).distinct()
-    place = F.split("value", " ")
-    ranges = _fetch(queries, blocks, directory_rows).select(place[0].alias("archive"), place[1].cast("int").alias("segment"), F.struct(place[2].cast("int").alias("offset"), place[3].cast("int").alias("length")).alias("range"))
-    ranges = ranges.groupBy("archive", "segment").agg(F.collect_list("range").alias("ranges"))
-
-    def rows(source: Iterator[tuple]) -> Iterator[tuple]:
+    place = F.split("value", " ", 4)
+    ranges = _fetch(queries, blocks, directory_rows).select(place[3].alias("archive"), F.when(place[0] != "-", place[0].cast("int")).alias("segment"), F.struct(place[1].cast("long").alias("offset"), place[2].cast("int").alias("length")).alias("range"))
+    fields = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", url string, payload binary" * payload
+
+    def parsed(member: bytes) -> tuple:
+        found = parse(zlib.decompress(member, 31))
+        row = found["page_id"], found["payload_bytes"], found["digest"], found["type"], found["refers_to"]
+        return (*row, found["url"], found["payload"]) if payload else row
+
+    def read(source: Iterator[tuple]) -> Iterator[tuple]:
+        for archive, wanted in source:
+            files, path = _open(archive)
+            with files.open_input_file(path) as f:
+                for offset, length in sorted((r["offset"], r["length"]) for r in wanted):
+                    f.seek(offset)
+                    yield parsed(f.read(length))
+
+    def cut(source: Iterator[tuple]) -> Iterator[tuple]:
         for wanted, data in source:
             for r in wanted:
-                found = parse(zlib.decompress(data[r["offset"] : r["offset"] + r["length"]], 31))
-                row = found["page_id"], found["payload_bytes"], found["digest"], found["type"], found["refers_to"]
-                yield (*row, found["url"], found["payload"]) if payload else row
+                yield parsed(data[r["offset"] : r["offset"] + r["length"]])
 
+    if archives.filter("data is not null").isEmpty():
+        stretch = F.floor(F.col("range.offset") / STRETCH_BYTES)
+        near = ranges.groupBy("archive", stretch.alias("stretch")).agg(F.collect_list("range").alias("ranges"))
+        return map_rows(near.select("archive", "ranges"), fields, read)
+    ranges = ranges.groupBy("archive", "segment").agg(F.collect_list("range").alias("ranges"))
     joined = archives.select("archive", "segment", "data").join(ranges, ["archive", "segment"]).select("ranges", "data")
-    return map_rows(joined, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", url string, payload binary" * payload, rows)
+    return map_rows(joined, fields, cut)
 
 
 def archive_and_read(df: DataFrame, key: str, url: str, page: str, min_revisit: int = 0) -> DataFrame:

@@ -1,14 +1,19 @@
 """Toxicity scores of deobfuscated text.
 
-A noisy channel stands between what was meant and what was written: letters become look-alike signs,
-are repeated, or are spaced out.  Written tokens that look disguised are decoded by Viterbi over the
-lattice of their possible letters, under a character trigram model of the corpus.  The score comes from
-the words of the restored text: each word and word start carries its share of toxic texts, learned from
-labelled rows, and a logistic regression weighs the strongest of them.
+A noisy channel stands between what was meant and what was written: letters become look-alike signs, are
+repeated, or words are spaced out or cut.  Every written sign gives steps of a lattice: the letters that it may
+stand for, nothing for a repetition, and for a blank or mark between letters either nothing or the blank
+between two words.  Viterbi decoding under a character trigram model of the corpus picks the likeliest
+path.  In plain words blanks are the only choice, and with two letters on each side it is one that other blanks
+have no part in, so it is made pair by pair.  The score comes from the words of the restored text: each word and
+word start carries its share of toxic texts, learned from labelled rows, and a logistic regression weighs the
+strongest of them.
 
 Defined cases: a null or wordless text gets the score of a text without evidence; labels other than 0
 and 1 are not learned from; a key that is labelled twice counts by its larger label; without labelled
-rows of both kinds every score is the prior; repeated rows get equal scores; clashing columns are ignored.
+rows of both kinds every score is the prior; repeated rows get equal scores; clashing columns are ignored; an
+empty table gives an empty table.  Texts are read whole and words of any length are decoded, in linear time; a
+word of more than PIECE signs is decoded piece by piece, each from where the best path of the last ended.
 
 At scale: the trigram model counts the whole corpus, task by task, into a fixed number of cells.  The
 lexicon and the regression are fitted on at most SAMPLE labelled rows, chosen by a hash of their keys;
@@ -36,16 +41,26 @@ SAMPLE = 40_000
 LEXICON = 100_000
 #: Rows of prior evidence that a word's share is smoothed with.
 PRIOR_ROWS = 4.0
+#: A word or word start is kept if so many toxic rows hold it, and toxic rows twice as often as others.
+MIN_TOXIC = 3
+#: The regression reads the shares of so many words, the strongest, and how many others are strong.
+TOP_WORDS = 3
 THRESHOLD = 0.3
 STARTS = (4, 6)
 #: Letters a-z, the blank between words, and any other letter.
 CLASSES = 28
-MEMO = 1 << 18
+BLANK, OTHER = 26, 27
+#: Entries after which a memo starts anew, and the longest token that is remembered.
+MEMO = 1 << 17
+MEMO_SIGNS = 64
+#: Signs after which the best path so far is settled.
+PIECE = 1 << 16
 
 # Signs that stand for letters.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¥": "y"}
-#: Log probabilities of the channel.
-PLAIN, SIGN, LITERAL, EXTRA = 0.0, -1.0, -6.0, -1.5
+#: Log probabilities of the channel: a letter, a sign for a letter, a sign that is none, a repetition, and a blank or
+#: mark within a word.
+PLAIN, SIGN, LITERAL, EXTRA, DROP = 0.0, -1.0, -6.0, -1.5, -4.0
 
 WORD = re.compile(r"[^\W\d_]+")
 _SIGNS = re.escape("".join(LEET))
@@ -55,6 +70,8 @@ RUN = re.compile(r"\w+")
 TRIPLE = re.compile(r"([^\W\d_])\1\1")
 #: Four or more single letters or signs with marks between.
 DOTTED = re.compile(rf"(?<![\w{_SIGNS}])[^\W_](?:[.\-_*]{{1,2}}[^\W_]|[.\-_*]{{1,2}}[{_SIGNS}]){{3,}}(?!\w)")
+#: Letters cut by marks.
+CUT = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:[.\-_*]++[^\W\d_]++)++")
 #: Single characters that may be letters of a spaced-out word.
 SINGLE = re.compile(rf"[^\W_]|[{_SIGNS}]")
 SPACED = 4
@@ -71,49 +88,108 @@ def _classes(text: str) -> np.ndarray:
     return out
 
 
+def _class(ch: str) -> int:
+    return ord(ch) - 97 if "a" <= ch <= "z" else OTHER
+
+
+def _written(path: tuple | None) -> str:
+    out = []
+    while path:
+        path, ch = path
+        out.append(ch)
+    return "".join(reversed(out))
+
+
 class Channel:
     """Character model and decoder."""
 
     def __init__(self, counts: np.ndarray):
         cube = counts.reshape(CLASSES, CLASSES, CLASSES) + 0.05
         self.logp = np.log(cube / cube.sum(2, keepdims=True)).tolist()
-        self.memo: dict[str, str] = {}
+        self.memo: dict[tuple[str, float], str] = {}
+        self.steps_of: dict[tuple[str, float], list[tuple[str, int, float]]] = {}
+        self.noise: dict[str, bool] = {}
+
+    def steps(self, sign: str, drop: float) -> list[tuple[str, int, float]]:
+        """(what is written, its class or -1 for nothing, log probability) of every step that reads ``sign``."""
+        found = self.steps_of.get((sign, drop))
+        if found is None:
+            if len(self.steps_of) >= MEMO:
+                self.steps_of.clear()
+            if sign.isalpha():
+                found = [(sign, _class(sign), PLAIN)]
+            elif sign in LEET:
+                found = [(ch, _class(ch), SIGN) for ch in LEET[sign]] + [(" ", BLANK, LITERAL)]
+            else:
+                found = [("", -1, drop), (" ", BLANK, PLAIN)]
+            self.steps_of[sign, drop] = found
+        return found
 
-    def decode(self, token: str) -> str:
-        """The likeliest letters behind a token."""
-        if len(token) > 64:
-            return token
-        known = self.memo.get(token)
+    def best(self, signs: str, drop: float = DROP) -> tuple[float, str]:
+        """Log probability and text of the likeliest path through the lattice of ``signs``, which are in lower case."""
+        # a state is the last two classes; it holds its path as (path before, sign written)
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(BLANK, BLANK): (0.0, None)}
+        settled: list[str] = []
+        before = ""
+        for i, sign in enumerate(signs):
+            steps = self.steps(sign, drop)
+            again = sign == before and steps[0][1] >= 0
+            new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (a, b), (score, path) in states.items():
+                row = self.logp[a][b]
+                if again and ((a, b) not in new or score + EXTRA > new[a, b][0]):
+                    new[a, b] = score + EXTRA, path
+                for ch, kind, cost in steps:
+                    if kind < 0 or kind == b == BLANK:
+                        state, value, held = (a, b), score + cost, path
+                    else:
+                        state, value, held = (b, kind), score + cost + row[kind], (path, ch)
+                    if state not in new or value > new[state][0]:
+                        new[state] = value, held
+            states, before = new, sign
+            if i % PIECE == PIECE - 1:
+                state, (score, path) = max(states.items(), key=lambda x: x[1][0])
+                settled.append(_written(path))
+                states = {state: (score, None)}
+        score, path = max(((score if b == BLANK else score + self.logp[a][b][BLANK], path) for (a, b), (score, path) in states.items()), key=lambda x: x[0])
+        return score, "".join([*settled, _written(path)]).strip()
+
+    def decode(self, signs: str, drop: float = DROP) -> str:
+        """The likeliest text behind ``signs``."""
+        known = self.memo.get((signs, drop))
         if known is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            known = self.memo[token] = self._viterbi(token.lower())
+            known = self.best(signs, drop)[1]
+            if len(signs) <= MEMO_SIGNS:
+                if len(self.memo) >= MEMO:
+                    self.memo.clear()
+                self.memo[signs, drop] = known
         return known
 
-    def _viterbi(self, token: str) -> str:
-        def code(ch: str) -> int:
-            return ord(ch) - 97 if "a" <= ch <= "z" else CLASSES - 1
-
-        # the state is the last two letters; a step reads one sign
-        states: dict[tuple[int, int], tuple[float, str]] = {(26, 26): (0.0, "")}
-        for i, sign in enumerate(token):
-            options = [(ch, SIGN) for ch in LEET.get(sign, "")]
-            if sign.isalpha():
-                options.append((sign, PLAIN))
-            elif not options:
-                continue  # a separator inside the token
-            again = i > 0 and token[i - 1] == sign
-            new: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, out) in states.items():
-                steps = [((b, code(ch)), score + cost + self.logp[a][b][code(ch)], out + ch) for ch, cost in options]
-                if again and out:
-                    steps.append(((a, b), score + EXTRA, out))
-                for state, value, text in steps:
-                    if state not in new or value > new[state][0]:
-                        new[state] = value, text
-            states = new or states
-        best = max(((score + self.logp[a][b][26], out) for (a, b), (score, out) in states.items()), default=(0.0, token))
-        return best[1]
+    def _is_noise(self, ends: str) -> bool:
+        """Is the blank in ``ends``, up to two letters before and behind it, likelier noise than a word's end?"""
+        x, _, y = ends.partition(" ")
+        if not (x.isalpha() and y.isalpha()):
+            return False
+        a, b = [_class(c) for c in x] if len(x) == 2 else (BLANK, _class(x))
+        c, d = [_class(c) for c in y] if len(y) == 2 else (_class(y), BLANK)
+        logp = self.logp
+        return logp[a][b][c] + logp[b][c][d] + DROP > logp[a][b][BLANK] + logp[b][BLANK][c] + logp[BLANK][c][d]
+
+    def joined(self, tokens: list[str]) -> Iterator[str]:
+        """Words that a blank has cut; tokens of one letter each are for ``spaced``."""
+        held = ""
+        for x, y in zip(tokens, [*tokens[1:], ""], strict=True):
+            ends = f"{x[-2:]} {y[:2]}"
+            noise = self.noise.get(ends)
+            if noise is None:
+                if len(self.noise) >= MEMO:
+                    self.noise.clear()
+                noise = self.noise[ends] = self._is_noise(ends)
+            if noise and len(x) + len(y) > 2:
+                held = (held or x) + y
+            elif held:
+                yield from WORD.findall(held)
+                held = ""
 
     def words_of_token(self, token: str) -> set[str]:
         """The words of a token without white space, as written and as meant; the token is in lower case."""
@@ -121,9 +197,9 @@ class Channel:
         plain = core.isalpha()  # then it can only be disguised by repetition
         found = {core} if plain else set(WORD.findall(token))
         if TRIPLE.search(token):
-            found.update(self.decode(run) for run in RUN.findall(token) if TRIPLE.search(run))
-        for pattern in () if plain else (MIXED, DOTTED):
-            found.update(self.decode(m[0]) for m in pattern.finditer(token))
+            found.update(w for run in RUN.findall(token) if TRIPLE.search(run) for w in WORD.findall(self.decode(run)))
+        for pattern in () if plain else (MIXED, DOTTED, CUT):
+            found.update(w for m in pattern.finditer(token) for w in self.decode(m[0], 0.0 if pattern is DOTTED else DROP).split())
         return found
 
     def spaced(self, tokens: list[str]) -> Iterator[str]:
@@ -140,15 +216,13 @@ class Channel:
 
     def _spelled(self, run: list[str]) -> Iterator[str]:
         for fits, part in groupby(run, lambda t: bool(SINGLE.fullmatch(t))):
-            letters = "".join(part)
+            letters = list(part)
             if fits and len(letters) >= SPACED:
-                yield self.decode(letters)
+                yield from self.decode(" ".join(letters), 0.0).split()
 
     def restored(self, text: str) -> set[str]:
         """Words that decoding adds to those that are written plainly."""
-        tokens = text.lower().split()
-        found = {w for t in set(tokens) for w in self.words_of_token(t)} | set(self.spaced(tokens))
-        return found - set(WORD.findall(text.lower()))
+        return words_of(text, self) - set(WORD.findall(text.lower()))
 
 
 def train_channel(df: DataFrame, text: str) -> Channel:
@@ -172,7 +246,7 @@ def train_channel(df: DataFrame, text: str) -> Channel:
 
 def words_of(text: str | None, channel: Channel) -> set[str]:
     tokens = (text or "").lower().split()
-    return {w for t in set(tokens) for w in channel.words_of_token(t)} | set(channel.spaced(tokens))
+    return {w for t in set(tokens) for w in channel.words_of_token(t)}.union(channel.spaced(tokens), channel.joined(tokens))
 
 
 def features(word: str) -> list[str]:
@@ -203,28 +277,31 @@ class Scorer:
                 found[w] = share
         return found
 
-    def vector(self, text: str | None, label: int | None = None) -> np.ndarray:
-        if label is not None:
-            shares = self._shares(words_of(text, self.channel), label)
-        else:
-            tokens = (text or "").lower().split()
-            shares = self._shares(self.channel.spaced(tokens))
-            for t in set(tokens):
-                known = self.known.get(t)
-                if known is None:
-                    if len(self.known) >= MEMO:
-                        self.known.clear()
-                    known = self.known[t] = self._shares(self.channel.words_of_token(t))
-                if known:
-                    shares.update(known)
+    def vector(self, words: Iterable[str], label: int) -> np.ndarray:
+        """Of the words of a row with this label, which was learned from."""
+        return self._vector(self._shares(words, label))
+
+    def _vector(self, shares: dict[str, float]) -> np.ndarray:
         best = sorted(shares.values(), reverse=True)
-        top = [log(s / (1 - s)) for s in (*best[:3], *[self.prior] * 3)[:3]]
+        top = [log(s / (1 - s)) for s in (*best[:TOP_WORDS], *[self.prior] * TOP_WORDS)[:TOP_WORDS]]
         return np.array([1.0, *top, log(1 + sum(s > 0.8 for s in best))])
 
     def score(self, text: str | None) -> float:
         if self.weights is None:
             return self.prior
-        z = float(self.vector(text) @ self.weights)
+        tokens = (text or "").lower().split()
+        shares = self._shares({*self.channel.spaced(tokens), *self.channel.joined(tokens)})
+        for t in set(tokens):
+            known = self.known.get(t)
+            if known is None:
+                known = self._shares(self.channel.words_of_token(t))
+                if len(t) <= MEMO_SIGNS:
+                    if len(self.known) >= MEMO:
+                        self.known.clear()
+                    self.known[t] = known
+            if known:
+                shares.update(known)
+        z = float(self._vector(shares) @ self.weights)
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -248,9 +325,15 @@ def train(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: st
     usable = labels.select(F.col(label_key).alias("k"), F.col(label).cast("int").alias("y")).filter(F.col("k").isNotNull() & F.col("y").isin(0, 1)).filter(~held_out("k"))
     chosen = usable.groupBy("k").agg(F.max("y").alias("y")).orderBy(F.xxhash64("k"), "k").limit(sample)
     # at most ``sample`` rows of (key, label)
-    rows_of = store(docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(chosen), "k").select("t", "y"), "labelled")
+    labelled = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(chosen), "k").select("t", "y")
     held = spark.sparkContext.broadcast(channel)
 
+    def worded(source: Iterator[tuple]) -> Iterator[tuple]:
+        for t, y in source:
+            yield sorted(words_of(t, held.value)), y
+
+    rows_of = store(map_rows(labelled, "words array<string>, y int", worded), "labelled")
+
     def counted(source: Iterator[tuple]) -> Iterator[tuple]:
         toxic: Counter[str] = Counter()
         clean: Counter[str] = Counter()
@@ -261,8 +344,8 @@ def train(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: st
             toxic.clear()
             clean.clear()
 
-        for t, y in source:
-            (toxic if y else clean).update({f for w in words_of(t, held.value) for f in features(w)})
+        for words, y in source:
+            (toxic if y else clean).update({f for w in words for f in features(w)})
             if len(toxic) + len(clean) > 500_000:
                 yield from flushed()
         yield from flushed()
@@ -270,15 +353,15 @@ def train(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: st
     sums = map_rows(rows_of, "feature string, p long, n long", counted).groupBy("feature").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
     totals = {r["y"]: r["count"] for r in rows_of.groupBy("y").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
-    useful = sums.filter((F.col("p") >= 3) & (F.col("p") * (toxic + clean) > (F.col("p") + F.col("n")) * 2 * toxic)).orderBy(F.desc(F.col("p") / (F.col("n") + 1)), "feature").limit(LEXICON)
+    useful = sums.filter((F.col("p") >= MIN_TOXIC) & (F.col("p") * (toxic + clean) > (F.col("p") + F.col("n")) * 2 * toxic)).orderBy(F.desc(F.col("p") / (F.col("n") + 1)), "feature").limit(LEXICON)
     lexicon = {r["feature"]: (r["p"], r["n"]) for r in useful.collect()}
     scorer = Scorer(channel, lexicon, toxic, clean)
     if toxic and clean:
         shared = spark.sparkContext.broadcast(scorer)
 
         def vectors(source: Iterator[tuple]) -> Iterator[tuple]:
-            for t, y in source:
-                yield shared.value.vector(t, y).tolist(), y
+            for words, y in source:
+                yield shared.value.vector(words, y).tolist(), y
 
         got = map_rows(rows_of, "x array<double>, y int", vectors).collect()  # ``sample`` rows of five numbers
         scorer.weights = _fit(np.array([r["x"] for r in got]), np.array([r["y"] for r in got], float))

@@ -5,28 +5,31 @@ document's language proportions are estimated by expectation-maximisation over i
 languages grows from the best single one, and a further language stays only where it raises the
 likelihood by more than a penalty that grows with the document's length.
 
-Defined cases: a null text, or one without a letter, is ``und`` with score 0; null labels are not learned
-from; ties go to the language that sorts first; repeated rows count as often as they occur; other input
-columns are ignored; without any learned language every document is ``und``.
+Defined cases: a null text, or one without a letter (numerals such as ² or ½ are none), is ``und`` with score
+0; null labels are not learned from; ties go to the language that sorts first; repeated rows count as often as
+they occur; very long texts are read whole, in chunks; other input columns are ignored; without any learned
+language, as with an empty table, every document is ``und``; beyond MAX_LANGUAGES labels those with most text are
+learned.
 
 At scale: training reads the corpus once; tasks sum their counts, so what is shuffled and gathered is at
-most BUCKETS cells a language, and the number of languages is checked.  Prediction is one scan.
+most BUCKETS cells a language and task.  Prediction is one scan.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import map_rows
+from inkmill.llm.common import bound_batches, map_rows, release_memory
 
 BUCKETS = 1 << 15
 ALPHA = 0.1
+#: Languages of a model, at most: its size is bounded by them.
 MAX_LANGUAGES = 512
 ROUNDS = 12
 #: Weight of the penalty: a further language must gain so many times ln(trigrams) / 2.
@@ -34,18 +37,24 @@ PENALTY = 2.0
 #: Characters whose trigrams are hashed at once; memory stays bounded on very long texts.
 CHUNK = 1 << 20
 
-_NOT_LETTER = re.compile(r"[\W\d_]+")
 _M1, _M2, _M3 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)
 _SHIFT = np.uint32(32 - BUCKETS.bit_length() + 1)
 
 
+@lru_cache(1)
+def _letters() -> np.ndarray:
+    """For every code point whether it is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+
+
 def trigrams(text: str) -> np.ndarray:
-    """How often each bucket occurs among the trigrams of letters, with word ends as blanks."""
+    """How often each bucket occurs among the trigrams of letters, with one blank for all that stands between words."""
     counts = np.zeros(BUCKETS, np.int64)
     for at in range(0, len(text), CHUNK):
-        part = _NOT_LETTER.sub(" ", text[at : at + CHUNK + 2]).lower()
-        c = np.frombuffer(f" {part} ".encode("utf-32-le", "surrogatepass"), "<u4")
-        if len(c) >= 3 and part.strip():
+        c = np.frombuffer(f" {text[at : at + CHUNK + 2].lower()} ".encode("utf-32-le", "surrogatepass"), "<u4")
+        word = _letters()[c]
+        if word.any():
+            c = np.where(word, c, np.uint32(32))[word | np.append(True, word[:-1])]
             counts += np.bincount((c[:-2] * _M1 ^ c[1:-1] * _M2 ^ c[2:] * _M3) * _M1 >> _SHIFT, minlength=BUCKETS)
     return counts
 
@@ -103,21 +112,26 @@ class Mixture:
 def train(df: DataFrame, text: str, lang: str) -> Mixture:
     """Learn from all rows of ``df`` with text and label."""
 
+    def cells_of(sums: dict[str, np.ndarray]) -> Iterator[tuple]:
+        for name, counts in sums.items():
+            for b in np.flatnonzero(counts).tolist():
+                yield name, b, int(counts[b])
+
     def rows(source: Iterator[tuple]) -> Iterator[tuple]:
         sums: dict[str, np.ndarray] = {}
         for t, name in source:
+            if name not in sums and len(sums) >= MAX_LANGUAGES:
+                yield from cells_of(sums)
+                sums.clear()
             if name not in sums:
                 sums[name] = np.zeros(BUCKETS, np.int64)
             sums[name] += trigrams(t)
-        for name, counts in sums.items():
-            for b in np.flatnonzero(counts).tolist():
-                yield name, b, int(counts[b])
+        yield from cells_of(sums)
 
     labelled = df.select(text, lang).filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    cells = map_rows(labelled, "lang string, bucket int, n long", rows).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells"))
-    got = cells.limit(MAX_LANGUAGES + 1).collect()
-    if len(got) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled")
+    cells = map_rows(labelled, "lang string, bucket int, n long", rows).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    by_lang = cells.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells"), F.sum("n").alias("total"))
+    got = by_lang.orderBy(F.desc("total"), "lang").limit(MAX_LANGUAGES).select("lang", "cells").collect()
     got.sort(key=lambda r: r["lang"])
     counts = np.zeros((len(got), BUCKETS))
     for i, r in enumerate(got):
@@ -162,5 +176,7 @@ def keep(df: DataFrame, text: str, model: Mixture, main_share: float) -> DataFra
         for batch in source:
             found = (held.value.infer(t.as_py()) for t in batch.column(place))
             yield batch.filter(pa.array([bool(f) and f[0][1] >= main_share for f in found], pa.bool_()))
+        release_memory()
 
+    bound_batches(df.sparkSession)
     return df.mapInArrow(run, df.schema)

@@ -7,7 +7,8 @@ decided once by merging their joined bytes, and remembered.  A position found de
 so the work is linear in the piece, and the outcome equals that of merging by rank.
 
 Defined cases: a null or empty text has no tokens; very long pieces (one word of megabytes) take linear
-time and memory; repeated rows give repeated results; other input columns are ignored.
+time and memory; repeated rows give repeated results; other input columns are ignored; an empty table gives
+an empty table.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from inkmill.llm.common import map_rows
 
 #: Entries after which a memo starts anew; memory stays bounded on any corpus.
-PIECES = 1 << 18
-PAIRS = 1 << 20
+PIECES = 1 << 17
+PAIRS = 1 << 18
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -62,7 +63,7 @@ class Codec:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.split = regex.compile(pattern)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by both ids as one number
         self.pieces = Pieces(self.encode_piece)
         # tokens that merging never makes can only stand for a whole piece, which is looked up first
         usable = {token: rank for token, rank in ranks.items() if len(token) == 1 or self.merge(token) == [rank]}
@@ -90,11 +91,12 @@ class Codec:
 
     def adjacent(self, a: int, b: int) -> bool:
         """May token b follow token a?"""
-        known = self.pairs.get((a, b))
+        pair = a << 32 | b
+        known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self.merge(self.tokens[a] + self.tokens[b]) == [a, b]
+            known = self.pairs[pair] = self.merge(self.tokens[a] + self.tokens[b]) == [a, b]
         return known
 
     def encode_piece(self, data: bytes) -> list[int]:

@@ -8,7 +8,8 @@ are verified inside the join.  Links are then closed to components.
 
 Defined cases: a null or blank text has fingerprint zero and links like any other; a text of fewer than
 three words is one shingle; rows that repeat a key are one document; a row without a key takes the
-component of its fingerprint; other input columns are ignored; an empty table gives an empty table.
+component of its fingerprint, null where no row with a key is in it; very long texts are hashed in chunks;
+other input columns are ignored; an empty table gives an empty table.
 
 At scale: texts never leave their scan stage.  The lookup moves 68 small rows for every distinct
 fingerprint, in proportion to the corpus; its join emits verified links only, and both its sides are
@@ -21,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import components, map_rows, store
+from inkmill.llm.common import components, digest, fresh, map_rows, small, store
 
 SHINGLE = 3
 SEED = 42
@@ -52,13 +53,16 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(total * 2 > len(hashes)).tobytes(), "big")
 
 
+def _signed(fp: int) -> int:
+    return fp - (1 << 64) if fp >> 63 else fp
+
+
 def fingerprints(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, fp): fingerprints as signed 64-bit integers."""
 
     def rows(source: Iterator[tuple]) -> Iterator[tuple]:
         for k, t in source:
-            fp = fingerprint(t)
-            yield k, fp - (1 << 64) if fp >> 63 else fp
+            yield k, _signed(fingerprint(t))
 
     picked = df.select(F.col(key).alias("k"), F.col(text).alias("t"))
     return map_rows(picked, f"{key} {picked.schema['k'].dataType.simpleString()}, fp long", rows)
@@ -72,44 +76,67 @@ def _segment(fp, which: int):
 
 
 def links(distinct: DataFrame) -> DataFrame:
-    """(a, b): the nodes, a below b, of fingerprints within RADIUS bits; of ``distinct(node, fp)``."""
+    """(a, b): all pairs a < b of the fingerprints ``distinct(fp)`` within RADIUS bits of each other."""
     width = BITS // SEGMENTS
     flips = F.array(*[F.lit(x).cast("long") for x in (0, *(2 << i for i in range(width)))])
     keys = F.array(*[_segment(F.col("fp"), s) for s in range(SEGMENTS)])
     ball = F.flatten(F.transform(keys, lambda k: F.transform(flips, lambda x: k.bitwiseXOR(x))))
-    probes = distinct.select(F.col("node").alias("a"), F.col("fp").alias("fa"), F.explode(ball).alias("key"))
-    table = distinct.select(F.col("node").alias("b"), F.col("fp").alias("fb"), F.explode(keys).alias("key"))
-    close = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= RADIUS
+    probes = distinct.select(F.col("fp").alias("a"), F.explode(ball).alias("key"))
+    table = distinct.select(F.col("fp").alias("b"), F.explode(keys).alias("key"))
+    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
     found = probes.join(table, (probes["key"] == table["key"]) & (F.col("a") < F.col("b")) & close)
     return found.select("a", "b").distinct()
 
 
-def near_duplicates(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, fp, component) of every row; the component is the smallest key reachable over links."""
-    prints = store(fingerprints(df, key, text), "prints")
-    distinct = store(prints.groupBy("fp").agg(F.min(key).alias("node")).filter("node is not null"), "distinct")
-    by_node = components(links(distinct).union(_shared_keys(prints, key)))
-    named = distinct.join(by_node, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    return prints.join(store(named, "named"), "fp", "left").select(key, "fp", "component")
+def _grouped(prints: DataFrame) -> DataFrame:
+    """Written table (fp, group) of the fingerprints of ``prints(k, fp)``; group is the smallest one reachable.
+
+    Rows that share a key link their fingerprints.
+    """
+    distinct = store(prints.select("fp").distinct(), "distinct")
+    several = prints.filter("k is not null").groupBy("k").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a <> b")
+    shared = prints.join(several.select("k", "a"), "k").filter("a <> fp").select("a", F.col("fp").alias("b"))
+    by_node = components(links(distinct).union(shared))
+    return store(distinct.join(by_node, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("group")), "groups")
 
 
-def _shared_keys(prints: DataFrame, key: str) -> DataFrame:
-    """Links between the fingerprints of one key, where rows repeat it with other texts."""
-    several = prints.groupBy(key).agg(F.count_distinct("fp").alias("n")).filter("n > 1").select(key)
-    node = prints.groupBy("fp").agg(F.min(key).alias("node"))
-    return prints.join(several, key).join(node, "fp").filter(F.col("node") < F.col(key)).select(F.col("node").alias("a"), F.col(key).alias("b"))
+def near_duplicates(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, fp, component) of every row; the component is the smallest key reachable over links."""
+    prints = store(fingerprints(df, key, text).withColumnRenamed(key, "k"), "prints")
+    grouped = _grouped(prints)
+    least = prints.groupBy("fp").agg(F.min("k").alias("least"))  # one row for each fingerprint from here
+    named = grouped.join(least, "fp")
+    component = named.groupBy("group").agg(F.min("least").alias("component"))
+    named = store(named.join(component, "group").select("fp", "component"), "named")
+    return prints.join(named, "fp").select(F.col("k").alias(key), "fp", "component")
 
 
 def keep_one(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows of ``df`` whose key is the smallest of its component; repeated rows of a key leave one row.
+    """One row of ``df`` for each component: that with the smallest key, of the text with the smallest digest.
 
-    A row without a key stays only if no keyed row has its fingerprint's component.
+    Rows without a key stand behind all others; rows that repeat both key and text leave one.
     """
-    found = near_duplicates(df, key, text)
-    losers = found.filter(f"component is not null and {key} <> component").select(key).distinct()
-    kept = df.join(store(losers, "losers"), key, "left_anti")
-    repeated = found.filter(f"{key} is not null").groupBy(key).count().filter("count > 1").select(key)
-    if repeated.isEmpty():
-        return kept
-    repeated = store(repeated, "repeated")
-    return kept.join(repeated, key, "left_anti").unionByName(kept.join(repeated, key, "left_semi").dropDuplicates([key]))
+    mark = fresh("row", df.columns)
+    keyed = df.withColumns({f"{mark}_k": F.col(key), f"{mark}_d": F.coalesce(digest(text), F.lit(b""))})
+
+    def rows(source: Iterator[tuple]) -> Iterator[tuple]:
+        for k, d, t in source:
+            yield k, d, _signed(fingerprint(t))
+
+    picked = df.select(F.col(key).alias("k"), F.coalesce(digest(text), F.lit(b"")).alias("d"), F.col(text).alias("t"))
+    prints = store(map_rows(picked, f"k {picked.schema['k'].dataType.simpleString()}, d binary, fp long", rows), "prints")
+    each = store(prints.join(_grouped(prints), "fp").groupBy("group", "k", "d").agg(F.count("*").alias("n")), "members")
+    first = each.groupBy("group").agg(F.min(F.struct(F.col("k").isNull().alias("none"), "k", "d")).alias("first"))
+    stays = F.col("first.k").eqNullSafe(F.col("k")) & (F.col("first.d") == F.col("d"))
+    judged = store(each.join(first, "group").filter(~stays | (F.col("n") > 1)).select(F.col("k").alias(f"{mark}_kk"), F.col("d").alias(f"{mark}_dd"), stays.alias("stays")), "judged")
+
+    def marked(table: DataFrame) -> tuple[DataFrame, Column]:
+        same = F.col(f"{mark}_k").eqNullSafe(F.col(f"{mark}_kk")) & (F.col(f"{mark}_d") == F.col(f"{mark}_dd"))
+        return (F.broadcast(table) if small(table) else table), same
+
+    kept = keyed.join(*marked(judged.filter("not stays")), "left_anti")
+    repeated = judged.filter("stays")
+    if not repeated.isEmpty():
+        once = kept.join(*marked(repeated), "left_semi").dropDuplicates([f"{mark}_k", f"{mark}_d"])
+        kept = kept.join(*marked(repeated), "left_anti").unionByName(once)
+    return kept.select(*df.columns)

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from inkmill.llm import bpe, transport
+from inkmill.llm import bpe, queries, transport
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -41,6 +41,67 @@ def test_damaged_streams():
     assert transport.section_crc(b"123456789") == 0x0376E6E7
 
 
+def packet(pid, counter, body, start=False, adaptation=None):
+    """A transport packet made by hand; adaptation: bytes behind the length of the field."""
+    extra = b"" if adaptation is None else bytes([len(adaptation)]) + adaptation
+    lack = 184 - len(extra) - len(body)
+    if lack and not start and adaptation is None and pid == 0x21:  # elementary data is filled by adaptation
+        extra = bytes([lack - 1]) + (b"\0" + b"\xff" * (lack - 2) if lack > 1 else b"")
+        lack = 0
+    control = 0x10 * bool(body) | 0x20 * bool(extra)
+    return bytes([0x47, 0x40 * start | pid >> 8, pid & 255, control | counter & 15]) + extra + body + b"\xff" * lack
+
+
+def section(table, ext, body):
+    head = bytes([table, 0xB0 | (len(body) + 9) >> 8, (len(body) + 9) & 255, ext >> 8, ext & 255, 0xC1, 0, 0])
+    return head + body + transport.section_crc(head + body).to_bytes(4, "big")
+
+
+def spread(pid, data, counter=0):
+    """A section in as many packets as it takes."""
+    data = b"\0" + data
+    return [packet(pid, counter + i, data[at : at + 184], start=not at) for i, at in enumerate(range(0, len(data), 184))]
+
+
+def elementary(counter, pes, adaptation=None):
+    head = packet(0x21, counter, pes[: 184 - (0 if adaptation is None else 1 + len(adaptation))], True, adaptation)
+    rest = pes[184 - (0 if adaptation is None else 1 + len(adaptation)) :]
+    return [head] + [packet(0x21, counter + 1 + i, rest[at : at + 184]) for i, at in enumerate(range(0, len(rest), 184))]
+
+
+def test_streams_made_by_others():
+    pat = section(0, 1, b"\0\0\xe0\x10" + b"".join(bytes([n >> 8, n & 255, 0xE1, n & 255]) for n in range(1, 60)))  # program 0: network
+    pmt = section(2, 1, b"\xe0\x21\xf1\x2c" + b"\x05" * 300 + b"\x1b\xe0\x21\xf0\x02zz")
+    tables = spread(0, pat) + spread(0x101, pmt)
+    assert len(spread(0, pat)) == 2 and len(spread(0x101, pmt)) == 2
+    data = bytes(range(256)) * 3
+    stamped = b"\0\0\1\xe0\0\0\x80\x80\x05" + transport._stamp(2, 2**33 - 5) + data  # no length given
+    plain = b"\0\0\1\xe0" + (3 + len(data)).to_bytes(2, "big") + b"\x80\0\0" + data  # without a stamp
+    one, two = elementary(0, stamped, b"\x40" + b"\xff" * 9), elementary(5, plain)
+    found = transport.demux(b"".join(tables + one + two))
+    assert found.programs == {1: [(0x21, 0x1B)]} and (found.bad_sections, found.continuity_errors) == (0, 0)
+    assert found.stamps == [2**33 - 5, None] and found.random_access == [0]
+    assert found.payload[: len(data)] == data and data in found.payload[len(data) :]
+    twice = transport.demux(b"".join(tables + [p for p in one for _ in range(2)] + two))
+    assert twice.payload == found.payload and twice.continuity_errors == 0
+    assert transport.demux(b"".join(tables + one + elementary(9, plain))).continuity_errors == 1
+    assert transport.demux(b"".join(tables + one + elementary(9, plain, b"\x80"))).continuity_errors == 0
+    cut = transport.demux(b"".join(spread(0, pat)[:1] + spread(0, pat)[:1] + tables + one))
+    assert cut.programs == found.programs
+    padding = b"\0\0\1\xbe\0\x04\xff\xff\xff\xff"
+    assert len(transport.demux(b"".join(tables + elementary(0, padding) + one)).stamps) == 1
+    lone = transport.demux(b"".join([packet(0x21, 0, b"", adaptation=b"\0" + b"\xff" * 182)] + tables + one))
+    assert lone.stamps == [2**33 - 5]
+
+
+def test_stored_stamps_and_points(spark, docs, tmp_path):
+    rows = [(1, "x" * 100_000), (2, ""), (3, None)]
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op2_transport_streams(spark, str(tmp_path)).collect()}
+    assert got[1]["stamps"] == [3003 * i for i in range(13)] and got[1]["random_access"] == [0, 8]
+    assert got[2]["stamps"] == got[3]["stamps"] == [0] and got[2]["media_sha256"] == got[3]["media_sha256"]
+
+
 def test_streams_of_a_table(docs, odd, spark):
     got = transport.read_streams(transport.write_streams(docs(odd), "doc_id", "text"), "doc_id").collect()
     want = []

@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from inkmill.llm import mainblock, warc
+from inkmill.llm import common, mainblock, warc
 
 PAGES = "page_id long, url string, html string, id string, sha string, text string"
 
@@ -38,13 +38,16 @@ def expected(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("block, directory, repeated", [(3000, 1000, 1000), (2, 1000, 0), (2, 2, 1000)])
-def test_archives_and_index(pages, monkeypatch, block, directory, repeated):
+@pytest.mark.parametrize("block, directory, limit, files", [(3000, 1000, 1 << 25, True), (2, 1000, 0, True), (2, 2, 1 << 25, True), (2, 2, 0, False), (3000, 1000, 1 << 25, False)])
+def test_archives_and_index(pages, monkeypatch, block, directory, limit, files):
     monkeypatch.setattr(warc, "BLOCK_LINES", block)
     monkeypatch.setattr(warc, "SEGMENT_RECORDS", 3)
-    monkeypatch.setattr(warc, "REPEATED_ROWS", repeated)
+    monkeypatch.setattr(warc, "STRETCH_BYTES", 500)
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 900)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
     df = pages(ROWS)
-    archives = warc.write_archives(df, "page_id", "url", "html")
+    archives = warc.write_archives(df, "page_id", "url", "html", files=files)
+    assert archives.filter("data is null").isEmpty() != files
     blocks = warc.build_index(archives)
     got = warc.lookup(df.select("url", F.col("page_id").alias("id")), archives, blocks, directory).collect()
     assert sorted((tuple(r) for r in got), key=repr) == expected(ROWS)
@@ -53,8 +56,9 @@ def test_archives_and_index(pages, monkeypatch, block, directory, repeated):
     assert warc.lookup(df.limit(1).select(F.lit("http://none/").alias("url"), F.lit(9).cast("long").alias("id")), archives, blocks, directory).collect() == []
 
 
-def test_archives_are_plain_gzip(pages):
-    archives = warc.write_archives(pages(ROWS, 1), "page_id", "url", "html")
+@pytest.mark.parametrize("files", [True, False])
+def test_archives_are_plain_gzip(pages, files):
+    archives = warc.write_archives(pages(ROWS, 1), "page_id", "url", "html", files=files)
     name = archives.first()["archive"]
     text = gzip.decompress(b"".join(warc.export_archives(archives, name)))
     assert text.count(b"WARC/1.1\r\n") == archives.filter(F.col("archive") == name).select(F.sum(F.size("entries"))).first()[0]
@@ -66,6 +70,32 @@ def test_small_payloads_and_empty_tables(pages):
     assert warc.archive_and_read(pages(ROWS).limit(0), "page_id", "url", "html").collect() == []
 
 
+@pytest.mark.parametrize("url", ["http://a/x%41%20y", "http://a/x y", " a", "a ", "a\r\nX: y", "http://é/日本?q=1#f", "", "\x85\u2028", "%", "a: b"])
+def test_urls_are_kept(url):
+    for refers_to in (None, 5):
+        data = warc.record(1, url, b"p", warc.base32_sha1(b"p"), refers_to)
+        assert warc.parse(data)["url"] == url
+    assert warc.parse(warc.record(1, None, b"p", warc.base32_sha1(b"p"), None))["url"] == ""
+
+
+def test_a_lookup_reads_its_range_only(pages, monkeypatch):
+    archives = warc.write_archives(pages(ROWS, 1), "page_id", "url", "html")
+    blocks = warc.build_index(archives)
+    name = archives.first()["archive"]
+    places = {e["id"]: e for r in archives.collect() for e in r["entries"]}
+    files, path = warc._open(name)
+    with files.open_input_file(path) as f:
+        data = bytearray(f.read())
+    kept = places[6]
+    for i in range(len(data)):
+        if not kept["offset"] <= i < kept["offset"] + kept["length"]:
+            data[i] = 0
+    with files.open_output_stream(path, compression=None) as f:
+        f.write(bytes(data))
+    asked = pages(ROWS).filter("page_id = 6").select("url", F.col("page_id").alias("id"))
+    assert warc.lookup(asked, archives, blocks).first()["page_id"] == 6
+
+
 def test_records():
     assert warc.surt("https://M.Example.com:443/A?b=1#c") == "com,example,m)/A?b=1"
     data = warc.record(1, "u", b"payload", warc.base32_sha1(b"payload"), None)

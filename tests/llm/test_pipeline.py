@@ -1,46 +1,105 @@
 """The pipeline against a plain version of its stages."""
 
 import hashlib
+import random
 import re
+import zlib
 
 import corpus_pipeline
 import public_tokenizers
+import pytest
 import tiktoken
-from test_documents import plain_groups, plain_hits, plain_print
+from test_documents import DE, EN, FR, plain_findings, plain_groups, plain_hits, plain_language, plain_owners, plain_print
 
-from inkmill.llm import bpe, langmix, secrets
+from inkmill.llm import bpe, common, langmix
+
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_run(spark):
-    rows = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    texts = {i: r["text"] for i, r in rows.items()}
-    model = langmix.train(spark.read.parquet(f"{SF}/documents.parquet").filter(~langmix.held_out("doc_id")), "text", "lang")
-    texts = {i: t for i, t in texts.items() if (f := model.infer(t)) and f[0][1] >= corpus_pipeline.MAIN_SHARE}
-    groups = plain_groups({i: {plain_print(t)} for i, t in texts.items()})
-    texts = {i: t for i, t in texts.items() if groups[i] == i}
-    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    left = {}
-    for i, t in texts.items():
+@pytest.fixture(scope="module")
+def merging():
+    ranks = bpe.load_ranks(PATH)
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def plain_run(rows, items, main, merging):
+    """Sorted (doc_id or -1, tokens, digest of the decoded text) of rows (doc_id, text, source); ``main`` tells which texts stay."""
+    rows = [r for r in rows if main(r[1])]
+    texts = sorted({t for _, t, _ in rows})
+    root = {t: t for t in texts}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    keyed = {}
+    for i, t, _ in rows:
+        if i is not None:
+            root[find(t)] = find(keyed.setdefault(i, t))
+    for a, b in plain_groups({t: {plain_print(t)} for t in texts}).items():
+        root[find(a)] = find(b)
+    first = {}
+    for r in rows:
+        place = (r[0] is None, r[0] or 0, hashlib.sha1(r[1].encode()).digest())
+        if find(r[1]) not in first or place < first[find(r[1])][0]:
+            first[find(r[1])] = place, r
+    left = []
+    for _, (i, t, source) in first.values():
         _, n_hit, names = plain_hits(t, items)
         if len(names) < 2:
-            left[i] = _without(t, items) if n_hit else t
-    owners = {}
-    for i, t in left.items():
-        base = secrets.base_spans(t)
-        for *_, v in base + secrets.free_spans(t, base):
-            owners.setdefault(v, set()).add(rows[i]["source"])
-    codec = bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
-    want = {}
-    for i, t in left.items():
-        base = secrets.base_spans(t)
-        live = [{"a": a, "b": b} for a, b, _, v in sorted(base + secrets.free_spans(t, base), key=lambda x: (x[0], secrets.KINDS.index(x[2]))) if len(owners[v]) <= secrets.MAX_OWNERS]
-        t = secrets.mask(t, live)
-        want[i] = len(reference.encode_ordinary(t)), hashlib.sha256(t.encode()).hexdigest()
-    got = {r["doc_id"]: (r["n_tokens"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, SF).collect()}
-    assert got == want
+            left.append((i, _without(t, items) if n_hit else t, source))
+    owners = plain_owners([(i, source, t) for i, t, source in left])
+    out = []
+    for i, t, _ in left:
+        parts, at = [], 0
+        for a, b, _, live, *_ in plain_findings(t, owners):
+            if live and a >= at:
+                parts += [t[at:a], "[SECRET]"]
+            at = max(at, b) if live else at
+        t = "".join(parts) + t[at:]
+        out.append((-1 if i is None else i, len(merging.encode_ordinary(t)), hashlib.sha256(t.encode()).hexdigest()))
+    return sorted(out)
+
+
+def test_run(spark, merging):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langmix.train(docs.filter(~langmix.held_out("doc_id")), "text", "lang")
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
+    want = plain_run(rows, items, lambda t: (f := model.infer(t)) and f[0][1] >= corpus_pipeline.MAIN_SHARE, merging)
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert sorted((r["doc_id"], r["n_tokens"], r["decoded_sha256"]) for r in got) == want
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 25])
+def test_run_on_odd_rows(spark, docs, merging, tmp_path, monkeypatch, limit):
+    """Rows without doc_id, repeated ids, copies, passages and secrets, with the language by exhaustive search."""
+    monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+    rng = random.Random(5)
+    say = lambda lang, n: " ".join(rng.choices({"en": EN, "de": DE, "fr": FR}[lang].split(), k=n))
+    items = [(1, "q w e r t z u i o p"), (2, "A s-d f g h j k l y x"), (None, "the house"), (3, None)]
+    rows = [(i, say(lang, 40), lang, f"s{i % 5}") for i, lang in enumerate(["en", "de", "fr"] * 5)]
+    twice, passage, both = say("en", 60), say("de", 40), say("fr", 40)
+    rows += [(30, twice, "en", "a"), (None, twice, "en", "a"), (31, twice, "en", "b"), (None, say("en", 45), None, "c"), (32, say("en", 45), None, "c"), (32, say("fr", 45), None, "c")]
+    rows += [(40, f"{passage} {items[0][1]} {passage}", "de", "x"), (None, f"{passage} {items[0][1]} {passage} und der alte Mann", "de", "x"), (None, f"{both} {items[0][1]} et {items[1][1]}", "fr", "x"), (41, f"{both} la maison {items[0][1]} {items[1][1]}", "fr", "x")]
+    rows += [(50 + k, f"{say('en', 40)} token = {'Zx81kQwErTy' if k < 3 else 'example-token-' + str(k)} {say('en', 10)}", "en", f"o{k}") for k in range(6)]
+    rows += [(None, f"{say('en', 40)} auth=Zx81kQwErTyUiOpAsDfGh7 {say('en', 10)}", "en", None), (60, f"{say('en', 40)} api_key: {'0f' * 20}", "en", "o1"), (60, f"{say('de', 40)} api_key: {'1f' * 20}", "de", "o1")]
+    rows += [(70, None, "en", "z"), (71, "", "en", "z"), (72, "½² 123", "en", "z"), (73, f"{say('en', 30)} {say('de', 30)} {say('fr', 30)}", "en", "z")]
+    rows += [(i % 4 or None, say("de", 35), "de", "h") for i in range(8)]
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(*r, "x", 1) for r in items], "item_id long, text string, digest string, hit long").write.parquet(f"{tmp_path}/benchmark.parquet")
+    learned = {}
+    for i, t, lang, _ in rows:
+        if t and lang and (i is None or zlib.crc32(str(i).encode()) % 4 != 2):
+            learned.setdefault(lang, []).append(t)
+    main = lambda t: (f := plain_language(t, learned)) and f[0][1] >= corpus_pipeline.MAIN_SHARE
+    want = plain_run([(i, t, o) for i, t, _, o in rows], [x for x in items if x[0] is not None], main, merging)
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_tokens"], r["decoded_sha256"]) for r in got) == want
+    assert len(want) < len(rows) - 10 and any(i == -1 for i, *_ in want)
 
 
 def _without(text, items):

@@ -52,83 +52,128 @@ class Untranslatable(ValueError):
     """A Python pattern that Java's syntax can't express."""
 
 
-_FLAGS = {"i": "(?iu)", "m": "(?m)", "s": "(?s)"}
-_ATOM = re.compile(r"\\(?P<esc>.)|\(\?P<(?P<name>\w+)>|\(\?P=(?P<back>\w+)\)|(?P<cond>\(\?\()|(?P<open>\[\^?\]?)|(?P<rest>.)", re.S)
+_FLAGS = {"i": "(?iu)", "m": "", "s": "(?s)"}
+#: Characters of \w as the inside of a class: letters, all kinds of numerals, and the underscore.
+WORD_CLASS = r"\p{L}\p{N}_"
+_WORD = f"[{WORD_CLASS}]"
+_BOUNDARY = f"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
+#: Python has none in an empty text.
+_NO_BOUNDARY = f"(?:(?!\\A\\z)(?:(?<={_WORD})(?={_WORD})|(?<!{_WORD})(?!{_WORD})))"
+#: Escapes of one letter and their Java forms outside of a class and inside; None: there is none.
+_ESCAPES = {
+    "s": (SPACE, SPACE_CLASS),
+    "S": (NOT_SPACE, None),
+    "d": (r"\p{Nd}", r"\p{Nd}"),
+    "D": (r"\P{Nd}", r"\P{Nd}"),
+    "w": (_WORD, WORD_CLASS),
+    "W": (f"[^{WORD_CLASS}]", None),
+    "b": (_BOUNDARY, r"\x08"),
+    "B": (_NO_BOUNDARY, None),
+    "A": (r"\A", None),
+    "Z": (r"\z", None),
+    "v": (r"\x0B", r"\x0B"),
+    "a": (r"\x07", r"\x07"),
+    **{c: (f"\\{c}", f"\\{c}") for c in "nrtf"},
+}
+_ATOM = re.compile(
+    r"""\\(?:(?P<octal>0[0-7]{0,2}|[0-3][0-7]{2})|(?P<back>[1-9][0-9]?)|x(?P<x>[0-9a-fA-F]{2})|u(?P<u>[0-9a-fA-F]{4})|U(?P<U>[0-9a-fA-F]{8})|(?P<esc>.))
+    |\(\?P<(?P<name>\w+)>|\(\?P=(?P<named>\w+)\)|(?P<plain>\(\?(?:[:=!>]|<[=!]))|(?P<odd>\(\?)
+    |(?P<open>\[\^?\]?)|\{(?P<least>[0-9]*)(?P<comma>,?)(?P<most>[0-9]*)\}|(?P<rest>.)""",
+    re.S | re.X,
+)
 
 
 @lru_cache(512)
 def to_java(pattern: str, flags: str = "") -> str:
     """Java form of a Python pattern; raises Untranslatable where there is none."""
-    out = ["(?Ud)", *(_FLAGS[f] for f in flags)]
+    out = ["(?d)", *(_FLAGS[f] for f in flags)]
     at, in_class = 0, False
     while at < len(pattern):
         m = _ATOM.match(pattern, at)
-        text = m[0]
+        coded = m["octal"] and int(m["octal"], 8) or int(m["x"] or m["u"] or m["U"] or "0", 16)
         if in_class:
-            if pattern.startswith("&&", at) or pattern[at] == "[":
-                raise Untranslatable(pattern)
-            if pattern[at] == "]":
-                in_class = False
-                out.append("]")
-                at += 1
-                continue
-            if m["esc"]:
-                out.append(_escape(m["esc"], True))
-                at = m.end()
-            else:
-                out.append(pattern[at])
-                at += 1
+            text, at = _in_class(pattern, at, m, coded)
+            in_class = text != "]"
+            out.append(text)
             continue
-        if m["cond"]:
+        at = m.end()
+        if m["odd"]:  # conditions, comments, flags inside of the pattern
             raise Untranslatable(pattern)
-        if m["esc"]:
-            text = _escape(m["esc"], False)
+        if m["octal"] or m["x"] or m["u"] or m["U"]:
+            text = f"\\x{{{coded:X}}}"
+        elif m["esc"]:
+            text = _escape(m["esc"], 0)
+        elif m["back"]:
+            text = f"(?:\\{m['back']})"  # a digit behind it is no part of its number
         elif m["name"]:
             text = f"(?<{_group(m['name'])}>"
-        elif m["back"]:
-            text = f"\\k<{_group(m['back'])}>"
+        elif m["named"]:
+            text = f"\\k<{_group(m['named'])}>"
         elif m["open"]:
             in_class = True
-            text = text.replace("]", "\\]")
-        elif text == "$" and "m" not in flags:
-            text = "(?=\\n?\\z)"
+            text = m["open"].replace("]", "\\]")
+        elif m["least"] is not None and (m["least"] or m["most"] or m["comma"]):
+            text = f"{{{m['least'] or 0}{m['comma']}{m['most']}}}"
+        elif m[0] in ("{}", "{", "}"):
+            text = m[0].replace("{", "\\{").replace("}", "\\}")
+        elif m[0] == "$":
+            text = "(?=\\n|\\z)" if "m" in flags else "(?=\\n?\\z)"
+        elif m[0] == "^" and "m" in flags:
+            text = "(?<![^\\n])"
+        else:
+            text = m[0]
         out.append(text)
-        at = m.end()
     return "".join(out)
 
 
+def may_be_empty(pattern: str, flags: str = "") -> bool:
+    """Can the pattern match without reading a character?  Java finds such matches inside of characters beyond the BMP, too."""
+    compiled = re.compile(pattern, sum({"i": re.I, "m": re.M, "s": re.S}[f] for f in flags))
+    return re._parser.parse(pattern, compiled.flags & ~re.UNICODE).getwidth()[0] == 0
+
+
+def _in_class(pattern: str, at: int, m: re.Match, coded: int) -> tuple[str, int]:
+    """The Java form of what stands at a place inside of a class, and where it ends."""
+    if pattern[at] == "[" or pattern.startswith("&&", at):
+        raise Untranslatable(pattern)
+    if pattern[at] != "\\":
+        return pattern[at], at + 1
+    if m["back"]:
+        digits = re.match("[0-7]{1,3}", m["back"])
+        if not digits or len(digits[0]) != len(m["back"]):
+            raise Untranslatable(pattern)
+        return f"\\x{{{int(digits[0], 8):X}}}", m.end()
+    if m["esc"]:
+        return _escape(m["esc"], 1), m.end()
+    return f"\\x{{{coded:X}}}", m.end()
+
+
 def _group(name: str) -> str:
     if not re.fullmatch("[A-Za-z][A-Za-z0-9]*", name):
         raise Untranslatable(name)
     return name
 
 
-def _escape(c: str, in_class: bool) -> str:
-    if c == "s":
-        return SPACE_CLASS if in_class else SPACE
-    if c == "S":
-        if in_class:
-            raise Untranslatable("\\S inside a class")
-        return NOT_SPACE
-    if c == "d":
-        return r"\p{Nd}"
-    if c == "D":
-        return r"\P{Nd}"
-    if c == "Z" and not in_class:
-        return r"\z"
-    if c == "N":
-        raise Untranslatable("\\N")
-    return "\\" + c
+def _escape(c: str, where: int) -> str:
+    if c in _ESCAPES:
+        text = _ESCAPES[c][where]
+    else:
+        text = None if c.isascii() and c.isalnum() else f"\\{c}" if c.isascii() else c
+    if text is None:
+        raise Untranslatable(f"\\{c}")
+    return text
 
 
 @lru_cache(512)
 def replacement_to_java(replacement: str) -> str:
     """Java form of the second argument of re.sub."""
     out, at = [], 0
-    for m in re.finditer(r"\\g<(\w+)>|\\(\d{1,2})|\\(.)", replacement):
-        out.append(replacement[at : m.start()].replace("$", "\\$"))
-        if m[1] or m[2]:
-            name = m[1] or m[2]
+    for m in re.finditer(r"\\g<(\w+)>|\\(\d{1,3})|\\(.)", replacement, re.S):
+        out.append(_literal(replacement[at : m.start()], out))
+        name = m[1] or m[2]
+        if m[2] and (m[2][0] == "0" or len(m[2]) == 3):  # an octal number, or a group and a digit
+            raise Untranslatable(replacement)
+        if name:
             out.append(f"${name}" if name.isdigit() else f"${{{_group(name)}}}")
         else:
             plain = {"n": "\n", "t": "\t", "r": "\r", "f": "\f", "v": "\v", "a": "\a", "\\": "\\\\"}.get(m[3])
@@ -136,5 +181,11 @@ def replacement_to_java(replacement: str) -> str:
                 raise Untranslatable(replacement)
             out.append(plain)
         at = m.end()
-    out.append(replacement[at:].replace("$", "\\$"))
+    out.append(_literal(replacement[at:], out))
     return "".join(out)
+
+
+def _literal(text: str, before: list[str]) -> str:
+    """Plain text of a replacement; a digit behind a group's number is kept apart from it."""
+    apart = text[:1].isdigit() and text[0].isascii() and before and re.fullmatch(r"\$\d+", before[-1])
+    return ("\\" if apart else "") + text.replace("$", "\\$")

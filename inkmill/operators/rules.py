@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkmill.functions.regexes import Untranslatable, replacement_to_java, to_java
+from inkmill.functions.regexes import Untranslatable, may_be_empty, replacement_to_java, to_java
 from inkmill.functions.text import strip
 from inkmill.plans.config import KINDS, Rule
 
@@ -21,7 +21,10 @@ RESULT = f"array<struct<cur:string,matches:{MATCHES}>>"
 
 
 def apply_rules(sentences: Column, rules: Sequence[Rule]) -> Column:
-    """For every sentence what is left of it (null: dropped) and its hits, each with the text as that rule met it."""
+    """For every sentence what is left of it (null: dropped) and its hits, each with the text as that rule met it.
+
+    A rule of an unknown kind fails where it hits.
+    """
     try:
         steps = [_step(rule) for rule in rules]
     except Untranslatable:
@@ -33,8 +36,8 @@ def apply_rules(sentences: Column, rules: Sequence[Rule]) -> Column:
 
 
 def _step(rule: Rule):
-    if rule.kind not in KINDS:
-        raise ValueError(f"Unknown rule kind: {rule.kind}")
+    if rule.kind == "replace" and may_be_empty(rule.pattern.text, rule.pattern.flags):
+        raise Untranslatable(rule.pattern.text)
     pattern = to_java(rule.pattern.text, rule.pattern.flags)
     new_text = replacement_to_java(rule.replacement) if rule.kind == "replace" else ""
 
@@ -42,14 +45,20 @@ def _step(rule: Rule):
         cur, matches = state["cur"], state["matches"]
         hit = F.coalesce((cur != "") & cur.rlike(pattern), F.lit(False))
         left = {"drop": F.lit(None).cast("string"), "extract": F.lit("")}.get(rule.kind)
-        if left is None:
+        if rule.kind == "replace":
             left = F.regexp_replace(cur, pattern, new_text)
+        elif left is None:
+            left = F.raise_error(F.lit(_unknown(rule))).cast("string")
         row = F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.bucket).alias("bucket"), cur.alias("text"))
         return F.struct(F.when(hit, left).otherwise(cur).alias("cur"), F.when(hit, F.concat(matches, F.array(row))).otherwise(matches).alias("matches"))
 
     return step
 
 
+def _unknown(rule: Rule) -> str:
+    return f"rule {rule.name!r} hit, but its kind is unknown: {rule.kind!r}"
+
+
 def _in_python(rules: Sequence[Rule]):
     @F.pandas_udf(RESULT)
     def run(series: pd.Series) -> pd.Series:
@@ -60,6 +69,8 @@ def _in_python(rules: Sequence[Rule]):
             for rule, pattern in compiled:
                 if not cur or not pattern.search(cur):
                     continue
+                if rule.kind not in KINDS:
+                    raise ValueError(_unknown(rule))
                 matches.append({"rule": rule.name, "bucket": rule.bucket, "text": cur})
                 cur = {"drop": None, "extract": ""}[rule.kind] if rule.kind != "replace" else pattern.sub(rule.replacement, cur)
                 if cur is None:

@@ -19,12 +19,15 @@ SLICES = "book_id string, slice_id long, start_line long, end_line long, char_le
 
 
 def number_lines(paragraphs: DataFrame) -> DataFrame:
-    """(book_id, line_no, text) of (book_id, para_no, text)."""
+    """``paragraphs(book_id, para_no, ...)`` with line_no, numbered from 1, in place of para_no."""
     order = Window.partitionBy("book_id").orderBy("para_no")
-    return paragraphs.select("book_id", F.row_number().over(order).cast("long").alias("line_no"), "text")
+    return paragraphs.withColumn("line_no", F.row_number().over(order).cast("long")).select("book_id", "line_no", *(c for c in paragraphs.columns if c not in ("book_id", "para_no", "line_no")))
 
 
 def sizes(lines: DataFrame) -> DataFrame:
+    """(book_id, line_no, chars, tokens) of lines with text, or of lines that have these numbers already."""
+    if {"chars", "tokens"} <= set(lines.columns):
+        return lines.select("book_id", "line_no", "chars", "tokens")
     return lines.select("book_id", "line_no", count_chars(F.col("text")).alias("chars"), estimate_tokens(F.col("text")).alias("tokens"))
 
 
@@ -32,28 +35,31 @@ def next_ends(lines: DataFrame, options: SliceOptions) -> DataFrame:
     """(book_id, after_line, end_line): where a slice ends that starts behind ``after_line``, for every line and 0.
 
     Among the ends that keep the slice within its range the one nearest the middle is taken, the earlier one
-    of two; else the first that overflows it; else the last line.
+    of two; else the first that overflows it; else the last line.  Every frame starts at an end of its book, so
+    a step costs the same in a book of any length.
     """
     so_far = Window.partitionBy("book_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = sizes(lines).select("book_id", "line_no", F.sum("chars").over(so_far).alias("total"))
     origin = sums.select("book_id").distinct().select("book_id", F.lit(0).cast("long").alias("line_no"), F.lit(0).cast("long").alias("total"))
     points = sums.union(origin)
-    ahead = lambda a, b: Window.partitionBy("book_id").orderBy("total").rangeBetween(a, b)
-    at = F.struct("total", "line_no")
     low, mid, high = options.target_chars_min, options.middle, options.target_chars_max
+    up_to = lambda n: Window.partitionBy("book_id").orderBy("total").rangeBetween(Window.unboundedPreceding, n)
+    from_ = lambda n: Window.partitionBy("book_id").orderBy(F.desc("total")).rangeBetween(Window.unboundedPreceding, -n)
+    at = F.struct("total", "line_no")
     found = points.select(
         "book_id",
         F.col("line_no").alias("after_line"),
         "total",
-        F.max(at).over(ahead(low, mid)).alias("below"),
-        F.min(at).over(ahead(mid, high)).alias("above"),
-        F.min("line_no").over(ahead(high + 1, Window.unboundedFollowing)).alias("over"),
+        F.max(at).over(up_to(mid)).alias("below"),
+        F.min(at).over(from_(mid)).alias("above"),
+        F.min("line_no").over(from_(high + 1)).alias("over"),
         F.max("line_no").over(Window.partitionBy("book_id")).alias("last"),
     )
-    under = mid - (F.col("below.total") - F.col("total"))
-    above = (F.col("above.total") - F.col("total")) - mid
-    inside = F.when(F.col("below").isNull() | (above < under), F.col("above.line_no")).otherwise(F.col("below.line_no"))
-    return found.filter("after_line < last").select("book_id", "after_line", F.coalesce(inside, "below.line_no", "over", "last").alias("end_line"))
+    under, above = F.col("below.total") - F.col("total"), F.col("above.total") - F.col("total")
+    below_line = F.when(under >= low, F.col("below.line_no"))
+    above_line = F.when(above <= high, F.col("above.line_no"))
+    inside = F.when(below_line.isNull() | (above - mid < mid - under), above_line)
+    return found.filter("after_line < last").select("book_id", "after_line", F.coalesce(inside, below_line, "over", "last").alias("end_line"))
 
 
 def _walk(total: np.ndarray, options: SliceOptions, limit: int | None) -> list[tuple[int, int]]:
@@ -110,14 +116,38 @@ def chunk_end(total: np.ndarray, at: int, budget: int) -> int:
     return max(at + 1, int(np.searchsorted(total, total[at] + budget, side="right")) - 1)
 
 
-def best_cut(total: np.ndarray, at: int, ends: list[int], options: SliceOptions) -> int | None:
-    """That end (a line number) behind line ``at`` which leaves the slice nearest its range, then its middle, then the start."""
+def best_cut(total: np.ndarray, at: int, ends: np.ndarray, options: SliceOptions) -> int | None:
+    """That end (a line number) behind line ``at`` which leaves the slice nearest its range, then its middle, then the start.
 
-    def distance(end: int) -> tuple[int, int, int]:
-        n = int(total[end] - total[at])
-        return max(options.target_chars_min - n, n - options.target_chars_max, 0), abs(n - options.middle), end
-
-    return min((e for e in ends if e > at), key=distance, default=None)
+    ``ends`` are in order; a few searches find the ends on both sides of the range and of its middle.
+    """
+    first = int(np.searchsorted(ends, at, side="right"))
+    if first == len(ends):
+        return None
+    low, mid, high = (int(total[at]) + n for n in (options.target_chars_min, options.middle, options.target_chars_max))
+
+    def before(bound: int, side: str) -> int:
+        """How many ends have a prefix sum below the bound, or up to it."""
+        a, b = first, len(ends)
+        while a < b:
+            m = (a + b) // 2
+            if total[ends[m]] < bound or side == "right" and total[ends[m]] == bound:
+                a = m + 1
+            else:
+                b = m
+        return a
+
+    def distance(i: int) -> tuple[int, int, int]:
+        n = int(total[ends[i]])
+        return max(low - n, n - high, 0), abs(n - mid), i
+
+    near = set()
+    for k in (before(low, "left"), before(mid, "left"), before(high, "right")):
+        if k < len(ends):
+            near.add(k)
+        if k > first:  # of ends with equal sums the first
+            near.add(before(int(total[ends[k - 1]]), "left"))
+    return int(ends[min(near, key=distance)])
 
 
 def choose_cuts(lines: DataFrame, cuts: DataFrame, options: SliceOptions) -> DataFrame:
@@ -126,15 +156,15 @@ def choose_cuts(lines: DataFrame, cuts: DataFrame, options: SliceOptions) -> Dat
     def book(key: tuple, rows: pd.DataFrame, proposed: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("line_no")
         total = np.concatenate([[0], rows["chars"].to_numpy().cumsum()])
-        ends, out, at = sorted(set(proposed["end_line"])), [], 0
-        ends = [e for e in ends if 1 <= e <= len(rows)]
+        ends, out, at = np.unique(proposed["end_line"].to_numpy()), [], 0
+        ends = ends[(ends >= 1) & (ends <= len(rows))]
         while (end := best_cut(total, at, ends, options)) is not None:
             out.append((rows["book_id"].iloc[0], len(out) + 1, at + 1, end, int(total[end] - total[at])))
             at = end
         return pd.DataFrame(out, columns=["book_id", "slice_id", "start_line", "end_line", "char_len"])
 
     left = sizes(lines).select("book_id", "line_no", "chars").groupBy("book_id")
-    return left.cogroup(cuts.groupBy("book_id")).applyInPandas(book, SLICES)
+    return left.cogroup(cuts.select("book_id", "end_line").distinct().groupBy("book_id")).applyInPandas(book, SLICES)
 
 
 def with_text(slices: DataFrame, lines: DataFrame) -> DataFrame:

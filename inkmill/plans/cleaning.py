@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,15 +15,32 @@ from inkmill.sources.epub import read_paragraphs
 
 @dataclass(frozen=True)
 class Cleaned:
-    """Two results of one plan: lines(book_id, line_no, text) and extracted(book_id, para_no, match_no, bucket, rule, text)."""
+    """Results of one plan: lines(book_id, line_no, text) and extracted(book_id, para_no, match_no, bucket, rule, text).
 
-    lines: DataFrame
-    extracted: DataFrame
+    Both are read off ``treated``; inside of ``with cleaned.once()`` that is computed a single time.
+    """
+
+    treated: DataFrame
+
+    @property
+    def lines(self) -> DataFrame:
+        return assemble.lines(self.treated)
+
+    @property
+    def extracted(self) -> DataFrame:
+        return assemble.extracted(self.treated)
+
+    @contextmanager
+    def once(self) -> Iterator[None]:
+        self.treated.persist()
+        try:
+            yield
+        finally:
+            self.treated.unpersist()
 
 
 def clean_paragraphs(paragraphs: DataFrame, rules: Sequence[Rule], headings: Headings) -> Cleaned:
-    treated = assemble.treat(assemble.body(paragraphs, headings), rules)
-    return Cleaned(assemble.lines(treated), assemble.extracted(treated))
+    return Cleaned(assemble.treat(assemble.body(paragraphs, headings), rules))
 
 
 def clean_epubs(spark: SparkSession, path: str, rules: Sequence[Rule], headings: Headings) -> Cleaned:

@@ -22,7 +22,7 @@ def _flags(value: Any) -> str:
     if value is None:
         return ""
     if not isinstance(value, str) or set(value) - set("ims"):
-        raise ValueError(f"Unsupported regex flag: {value}")
+        raise ValueError(f"flags of a pattern are letters out of i, m and s, not {value!r}")
     return "".join(sorted(set(value)))
 
 
@@ -91,7 +91,7 @@ class Headings:
 def parse_rules(data: Any) -> list[Rule]:
     """Rules of a rule file; entries that are no objects or have no pattern are passed over."""
     if data.get("version", 1) != 1:
-        raise ValueError(f"Unsupported rules version: {data.get('version')}")
+        raise ValueError(f"this reads rule files of version 1, not {data.get('version')!r}")
     entries = data.get("rules", [])
     if not isinstance(entries, list):
         raise ValueError("rules must be a list")
@@ -141,6 +141,19 @@ def load_providers(path: str | Path) -> dict[str, ProviderOptions]:
     return found
 
 
+#: The numbers of a slice file by their kind.
+NUMBERS = {"retry_max": int, "retry_backoff_s": float, "timeout_s": float, "target_chars_min": int, "target_chars_max": int, "chunk_input_tokens": int, "completion_max_tokens": int, "temperature": float}
+
+
+def _number(name: str, value: Any, kind: type) -> int | float:
+    """Numbers may be written as text, and whole ones with a fraction, which is cut off."""
+    try:
+        return kind(value)
+    except (TypeError, ValueError, OverflowError) as e:
+        raise ValueError(f"{name} must be a number, not {value!r}") from e
+
+
+# Names, defaults and ranges of a slice file's settings.
 @dataclass(frozen=True)
 class SliceOptions:
     provider_order: tuple[str, ...] = ()
@@ -173,8 +186,8 @@ class SliceOptions:
         order = [order] if isinstance(order, str) else order
         if not isinstance(order, list) or not all(isinstance(x, str) and x for x in order):
             raise ValueError("provider_order must be a list of names")
-        known = {k: data[k] for k in cls.__dataclass_fields__ if k in data and k != "provider_order"}
-        return cls(provider_order=tuple(order), **known)
+        given = {k: _number(k, data[k], kind) for k, kind in NUMBERS.items() if k in data}
+        return cls(tuple(order), **given, response_format=data.get("response_format"))
 
     @property
     def middle(self) -> int:

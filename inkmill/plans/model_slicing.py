@@ -1,8 +1,8 @@
 """Slicing with cut points from a chat model.
 
 A book's next chunk starts behind the last cut of the one before, so books are the unit of parallel work:
-each runs in one grouped function with its own providers.  Turn speculation off for such jobs, and give
-``answers`` a store that tasks share, since a retried task would otherwise pay for its calls again.
+each runs in one grouped function with its own providers.  Turn speculation off for such jobs, and name a
+folder for ``answers`` that all executors reach: a retried task, or a later run, finds there what was answered.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from inkmill.operators import cuts as C
 from inkmill.operators.slicing import best_cut, chunk_end
 from inkmill.plans.config import ProviderOptions, SliceOptions
 from inkmill.plans.prompts import messages
+from inkmill.providers.answers import AnswerFolder
 from inkmill.providers.base import ChatProvider, build
 
 NO_CUTS = "LLM returned no valid cuts"
@@ -98,7 +99,8 @@ def slice_lines(texts: list[str], chars: np.ndarray, tokens: np.ndarray, options
                 yield Slice(number, at + 1, stop, error=NO_CUTS if asked.error is None else str(asked.error), provider=asked.failed[0], model=asked.failed[1])
             return
         by_end = {c.end_line: c for c in asked.cuts}
-        while (max_slices is None or number <= max_slices) and (end := best_cut(total, at, list(by_end), options)) is not None:
+        ends = np.array(sorted(by_end))
+        while (max_slices is None or number <= max_slices) and (end := best_cut(total, at, ends, options)) is not None:
             yield made(end, by_end[end], asked.used)
             at, number = end, number + 1
 
@@ -113,15 +115,15 @@ def clients_of(providers: dict[str, ProviderOptions], options: SliceOptions, mak
     return {n: (make(providers[n]), providers[n].model) for n in dict.fromkeys(options.provider_order)}
 
 
-def slice_books(lines: DataFrame, options: SliceOptions, providers: dict[str, ProviderOptions], make: Callable[[ProviderOptions], ChatProvider] = build, max_slices: int | None = None) -> DataFrame:
-    """SLICES of every book in ``lines(book_id, line_no, text)``."""
+def slice_books(lines: DataFrame, options: SliceOptions, providers: dict[str, ProviderOptions], make: Callable[[ProviderOptions], ChatProvider] = build, max_slices: int | None = None, answers: str | None = None) -> DataFrame:
+    """SLICES of every book in ``lines(book_id, line_no, text)``; ``answers`` names the folder where answers are kept."""
     if max_slices is not None and max_slices <= 0:
         raise ValueError("max_slices must be positive or None")
     names = [f.strip().split(" ")[0] for f in SLICES.split(",")]
 
     def book(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("line_no")
-        found = slice_lines(rows["text"].tolist(), rows["chars"].to_numpy(), rows["tokens"].to_numpy(), options, clients_of(providers, options, make), max_slices)
+        found = slice_lines(rows["text"].tolist(), rows["chars"].to_numpy(), rows["tokens"].to_numpy(), options, clients_of(providers, options, make), max_slices, answers=AnswerFolder(answers) if answers else None)
         return pd.DataFrame([{"book_id": key[0], **asdict(s)} for s in found], columns=names)
 
     sized = lines.select("book_id", "line_no", "text", count_chars(F.col("text")).alias("chars"), estimate_tokens(F.col("text")).alias("tokens"))

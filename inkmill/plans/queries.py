@@ -37,15 +37,24 @@ def _docs(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFra
 
 def _paragraphs(docs: DataFrame) -> DataFrame:
     """Paragraphs of documents; a source is a book, its documents in order."""
-    each = docs.select("source", "doc_id", F.posexplode(T.paragraphs(T.normalize(F.col("text")))).alias("pos", "text"))
     order = Window.partitionBy("source").orderBy("doc_id", "pos")
-    return each.select(F.col("source").alias("book_id"), F.row_number().over(order).cast("long").alias("para_no"), "text")
+    return _pieces(docs).select(F.col("source").alias("book_id"), F.row_number().over(order).cast("long").alias("para_no"), "text")
+
+
+def _pieces(docs: DataFrame) -> DataFrame:
+    return docs.select("source", "doc_id", F.posexplode(T.paragraphs(T.normalize(F.col("text")))).alias("pos", "text"))
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _paragraphs(_docs(spark, sf_dir)).withColumnRenamed("para_no", "line_no")
 
 
+def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines' numbers alone: texts stay behind before lines are brought together by book."""
+    sized = _pieces(_docs(spark, sf_dir)).select(F.col("source").alias("book_id"), F.struct("doc_id", "pos").alias("para_no"), T.count_chars(F.col("text")).alias("chars"), T.estimate_tokens(F.col("text")).alias("tokens"))
+    return slicing.number_lines(sized)
+
+
 # -- text ---------------------------------------------------------------------------------------------
 
 def q01_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,24 +138,23 @@ def _ruled_sql() -> str:
 # -- slicing ------------------------------------------------------------------------------------------
 
 def q11_chunk_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return slicing.chunks(_lines(spark, sf_dir), OPTIONS)
+    return slicing.chunks(_sizes(spark, sf_dir), OPTIONS)
 
 
 def q12_next_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return slicing.next_ends(_lines(spark, sf_dir), OPTIONS)
+    return slicing.next_ends(_sizes(spark, sf_dir), OPTIONS)
 
 
 def q13_dry_run_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return slicing.dry_run(_lines(spark, sf_dir), OPTIONS)
+    return slicing.dry_run(_sizes(spark, sf_dir), OPTIONS)
 
 
 def q14_max_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return slicing.dry_run(_lines(spark, sf_dir), SMALL, max_slices=7)
+    return slicing.dry_run(_sizes(spark, sf_dir), SMALL, max_slices=7)
 
 
 def q14b_slice_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lines(spark, sf_dir)
-    return slicing.with_text(slicing.dry_run(lines, OPTIONS), lines).select("book_id", "slice_id", "char_len", F.sha2("text", 256).alias("digest"))
+    return slicing.with_text(q13_dry_run_slices(spark, sf_dir), _lines(spark, sf_dir)).select("book_id", "slice_id", "char_len", F.sha2("text", 256).alias("digest"))
 
 
 # -- chapters -----------------------------------------------------------------------------------------
@@ -269,7 +277,7 @@ def q21_parse_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q22_choose_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lines(spark, sf_dir)
+    lines = _sizes(spark, sf_dir)
     proposed = lines.filter("line_no % 7 = 0 or line_no % 11 = 3").select("book_id", F.col("line_no").alias("end_line"))
     return slicing.choose_cuts(lines, proposed, OPTIONS)
 

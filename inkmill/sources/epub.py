@@ -11,7 +11,6 @@ import io
 import posixpath
 import zipfile
 from collections.abc import Iterator
-from pathlib import PurePosixPath
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 
 from inkmill.functions.markup import html_text
 from inkmill.functions.text import normalize, paragraphs
+from inkmill.sources.names import book_name, root_of
 
 # The media types of text documents, and where an archive names its package.
 TEXT_TYPES = ("application/xhtml+xml", "text/html", "application/html+xml")
@@ -75,17 +75,17 @@ def documents(data: bytes) -> Iterator[tuple[int, str, str, bytes | None]]:
 def read_epubs(spark: SparkSession, path: str, keep_errors: bool = False) -> DataFrame:
     """DOCS of every .epub under ``path``; members that an archive lacks have null content."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.epub").option("recursiveFileLookup", "true").load(path)
-    return open_archives(files, keep_errors)
+    return open_archives(files, root_of(spark, path), keep_errors)
 
 
-def open_archives(files: DataFrame, keep_errors: bool = False) -> DataFrame:
-    """DOCS of ``files(path, content)``."""
+def open_archives(files: DataFrame, root: str, keep_errors: bool = False) -> DataFrame:
+    """DOCS of ``files(path, content)``; a book is named by its path below ``root``."""
 
     def opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["book_id", "spine_pos", "href", "media_type", "content", "error"]
         for batch in batches:
             for name, data in zip(batch["path"], batch["content"], strict=True):
-                book = PurePosixPath(name).stem
+                book = book_name(name, root)
                 try:
                     rows = [(book, *d, None) for d in documents(data)]
                 except (EpubError, zipfile.BadZipFile) as e:

@@ -12,6 +12,7 @@ from inkmill.plans.model_slicing import NO_CUTS, ask, clients_of, slice_books
 from inkmill.plans.prompts import messages
 from inkmill.plans.single_book import SliceRunError, clean_file, slice_file
 from inkmill.providers import ProviderError, build
+from inkmill.providers.answers import AnswerFolder
 from inkmill.providers.base import HttpProvider, ScriptedProvider, fixed
 from inkmill.sources import sinks
 from inkmill.sources.epub import EpubError, read_epubs
@@ -64,6 +65,28 @@ def test_streaming(spark, tmp_path):
         clean_stream(spark, str(tmp_path / "in"), RULES, HEADINGS, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out/lines")).groupBy("book_id").count().count() == 2
     assert spark.read.parquet(str(tmp_path / "out/errors")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "out/extracted")).groupBy("book_id").count().count() == 2
+    epub(tmp_path / "in" / "one.epub", spine=())  # delivered again without any text, and the faulty one mended
+    epub(tmp_path / "in" / "bad.epub")
+    clean_stream(spark, str(tmp_path / "in"), RULES, HEADINGS, str(tmp_path / "out"), str(tmp_path / "cp2"), available_now=True).awaitTermination()
+    assert {r["book_id"] for r in spark.read.parquet(str(tmp_path / "out/lines")).collect()} == {"two", "bad"}
+    assert {r["book_id"] for r in spark.read.parquet(str(tmp_path / "out/extracted")).collect()} == {"two", "bad"}
+    spark.catalog.clearCache()
+    assert not any((tmp_path / "out/errors").glob("book_id=*"))
+
+
+def test_equal_names_in_two_folders(spark, tmp_path):
+    for folder in ("a", "b c+%"):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        epub(tmp_path / "in" / folder / "x.epub")
+        text_file(tmp_path / "in" / folder / "y.txt", 3)
+    (tmp_path / "in" / "y.text.csv").write_text("one\n")
+    assert {r["book_id"] for r in read_epubs(spark, str(tmp_path / "in")).collect()} == {"a/x", "b c+%/x"}
+    assert {r["book_id"] for r in read_epubs(spark, str(tmp_path / "in" / "*" / "x.epub")).collect()} == {"a/x", "b c+%/x"}
+    assert {r["book_id"] for r in read_epubs(spark, str(tmp_path / "in" / "a" / "x.epub")).collect()} == {"x"}
+    got = read_lines(spark, str(tmp_path / "in") + "/{a,b*}/*.txt").groupBy("book_id").count().collect()
+    assert {r["book_id"]: r["count"] for r in got} == {"a/y": 3, "b c+%/y": 3}
+    assert read_lines(spark, str(tmp_path / "in" / "y.text.csv")).first()["book_id"] == "y.text.csv"
 
 
 def text_file(path, n=30):
@@ -99,7 +122,7 @@ def test_dry_run_files(spark, tmp_path):
     assert run["status"] == "ok" and run["slices_written"] == 2 and "key" not in json.dumps(run["slice_config"])
     assert seen[-1] == (2, 10, 10)
     (tmp_path / "e.txt").write_text(" \n")
-    with pytest.raises(ValueError, match="Empty input"):
+    with pytest.raises(ValueError, match="no lines to slice"):
         slice_file(spark, tmp_path / "e.txt", {}, OPTIONS, tmp_path / "o", dry_run=True)
 
 
@@ -143,6 +166,26 @@ def test_many_books(spark):
     assert json.loads(sinks.books_as_json(slice_books(lines, OPTIONS, PROVIDERS, make)).filter("book_id = 'a'").first()["json"])[1]["end_line"] == 10
 
 
+def test_answers_outlive_a_task(spark, tmp_path):
+    lines = spark.createDataFrame([("a", i + 1, "x" * 10) for i in range(10)], "book_id string, line_no long, text string")
+    first = slice_books(lines, OPTIONS, PROVIDERS, partial(fixed, cut(5, 10)), answers=f"file://{tmp_path}/answers").collect()
+    again = slice_books(lines, OPTIONS, PROVIDERS, partial(fixed, "junk"), answers=str(tmp_path / "answers")).collect()
+    assert first == again and [r["end_line"] for r in first] == [5, 10]
+    kept = AnswerFolder(str(tmp_path / "answers"))
+    assert len(kept) == len(list(kept)) == 1 and kept.get("none") is None
+    del kept[next(iter(kept))]
+    assert not kept
+
+
+def test_settings_are_converted():
+    got = SliceOptions.parse({"retry_max": 5.0, "target_chars_min": "5000", "timeout_s": "2.5", "temperature": 1})
+    assert (got.retry_max, got.target_chars_min, got.timeout_s, got.temperature) == (5, 5000, 2.5, 1.0)
+    assert isinstance(got.retry_max, int) and isinstance(got.temperature, float)
+    for wrong in ({"retry_max": "many"}, {"timeout_s": None}, {"target_chars_min": "5.5"}, {"temperature": []}):
+        with pytest.raises(ValueError, match="must be a number"):
+            SliceOptions.parse(wrong)
+
+
 def test_http_providers():
     got = []
 
@@ -174,7 +217,7 @@ def test_http_providers():
                 ask_(one, model)
     finally:
         server.shutdown()
-    with pytest.raises(ProviderError, match="Network"):
+    with pytest.raises(ProviderError, match="could not be reached"):
         ask_(HttpProvider("http://127.0.0.1:9", "k", "v1"), "ok")
     with pytest.raises(ValueError):
         build(ProviderOptions("a", "other", base, "m", "k"))

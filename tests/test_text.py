@@ -1,6 +1,7 @@
 import random
 import re
 import unicodedata
+import warnings
 
 import model
 import pytest
@@ -79,7 +80,56 @@ def test_patterns_translate(spark, pattern, flags, new):
     assert got == [compiled.sub(new, t) for t in texts]
 
 
-@pytest.mark.parametrize("pattern", [r"(a)?(?(1)b|c)", r"[[a]", r"[a&&b]", r"[\S]"])
+CASES = [
+    (r"a{,3}b", "", "-"), (r"a{b", "", "-"), (r"a{,}b", "", "-"), (r"a{}", "", "-"), (r"a{2,", "", "-"), (r"{a}", "", "-"), (r"a{1}{", "", "-"),
+    (r"\U0001F600+", "", "-"), (r"\0", "", "-"), (r"\012", "", "-"), (r"x\vy", "", "-"), (r"[\v\0\101]", "", "-"), (r"[\b]", "", "-"), (r"\141", "", "-"),
+    (r"(a)\1[0]", "", r"\g<1>0"), (r"(a)(b)", "", r"\2\1\g<0>"), (r"\w+", "", "<\\g<0>>"), (r"[\w-]+", "", "-"), (r"\W", "", "-"), (r"\b\w", "", "*"), (r"\Ba", "", "*"),
+    (r"^", "m", ">"), (r"$", "m", "<"), (r"^a", "m", "-"), (r"a$", "m", "-"), (r"\Aa", "", "-"), (r"a++b", "", "-"), (r"(?>a+)b", "", "-"), (r"(?<!a)b", "", "-"), (r"(?<=a)b", "", "-"), (r"\é", "", "-"), (r"\-\ ", "", "-"), (r"b*", "", "-"),
+]
+SAMPLES = ["aaab", "a{b", "a{}a{2,", "{a}", "😀😀a", "\0a\n", "x\x0by x\ny", "A\x08", "aa0", "ab ab", "é²½_a-b ̂a", "a\na\n", "", "\n", "caab\nab", "a- b", "ⅻ a͛b"]
+
+
+def test_patterns_mean_the_same(spark):
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(SAMPLES)], "i long, s string")
+    rows = df.select("i", "s", *(F.regexp_replace("s", R.to_java(p, f), R.replacement_to_java(n)).alias(f"c{k}") for k, (p, f, n) in enumerate(CASES))).collect()
+    for k, (p, f, n) in enumerate(CASES):
+        compiled = re.compile(p, re.M if f else 0)
+        for r in rows:
+            if not R.may_be_empty(p, f) or max(map(ord, r["s"]), default=0) < 0x10000:
+                assert r[f"c{k}"] == compiled.sub(n, r["s"]), (p, r["s"])
+
+
+def test_random_patterns_mean_the_same_or_are_refused(spark):
+    rng = random.Random(7)
+    pieces = ["a", "b", "é", "²", ".", "^", "$", "|", "(", "(?:", "(?P<n>", ")", "[ab]", "[^a\\d]", "[]a]", "*", "+", "?", "{,2}", "{1}", "{", "}", "\\b", "\\B", "\\w", "\\W", "\\s", "\\d", "\\v", "\\0", "\\1", "\\n", "\\.", "(?=a)", "(?<!b)", "(?i)", "(?#x)", "-", "&&"]
+    chosen, refused = [], 0
+    while len(chosen) < 250:
+        pattern, flags = "".join(rng.choices(pieces, k=rng.randint(1, 6))), rng.choice(["", "", "i", "m", "s", "ims"])
+        try:
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                compiled = re.compile(pattern, sum({"i": re.I, "m": re.M, "s": re.S}[f] for f in flags))
+        except (re.error, OverflowError):
+            continue
+        try:
+            chosen.append((compiled, R.to_java(pattern, flags)))
+        except R.Untranslatable:
+            refused += 1
+    texts = ["".join(rng.choices("aabbéÉ²B1 \n.{}-&\x0b\0", k=rng.randint(0, 9))) for _ in range(60)]
+    df = spark.createDataFrame([(s,) for s in texts], "s string")
+    for at in range(0, len(chosen), 50):
+        part = chosen[at : at + 50]
+        empty = [R.may_be_empty(c.pattern, "".join(f for f, v in {"i": re.I, "m": re.M, "s": re.S}.items() if c.flags & v)) for c, _ in part]
+        # replacing what may be empty is left to Python
+        columns = [F.col("s").rlike(java).cast("string") if e else F.regexp_replace("s", java, "<>") for e, (_, java) in zip(empty, part, strict=True)]
+        for r in df.select("s", *(c.alias(f"c{k}") for k, c in enumerate(columns))).collect():
+            for k, (compiled, java) in enumerate(part):
+                want = str(bool(compiled.search(r["s"]))).lower() if empty[k] else compiled.sub("<>", r["s"])
+                assert r[f"c{k}"] == want, (compiled.pattern, compiled.flags, java, r["s"])
+    assert refused < 150
+
+
+@pytest.mark.parametrize("pattern", [r"(a)?(?(1)b|c)", r"(?i)a", r"a(?#note)b", r"(?x) a", r"[\W]", r"[[a]", r"[a&&b]", r"[\S]"])
 def test_patterns_without_a_java_form(pattern):
     with pytest.raises(R.Untranslatable):
         R.to_java(pattern)

@@ -6,8 +6,13 @@ ones: ``_chapters`` puts a heading before every document of a source, which stan
 
 from __future__ import annotations
 
+import io
+import json
+import re
+import zipfile
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,8 +20,12 @@ from inkmill.functions import text as T
 from inkmill.functions.markup import html_text
 from inkmill.operators import assemble, cuts, headings, rules, slicing
 from inkmill.plans import oracle as O
-from inkmill.plans.config import Pattern, Rule, SliceOptions, load_cleaning
+from inkmill.plans.config import Pattern, ProviderOptions, Rule, SliceOptions, load_cleaning
+from inkmill.plans.model_slicing import slice_books
 from inkmill.plans.prompts import render_body
+from inkmill.providers.base import ChatProvider, ProviderError, ScriptedProvider
+from inkmill.sources import sinks
+from inkmill.sources.epub import book_paragraphs, open_archives
 
 OPTIONS = SliceOptions()
 SMALL = SliceOptions(target_chars_min=700, target_chars_max=900, chunk_input_tokens=900)
@@ -291,12 +300,109 @@ def q24_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slicing.run_summary(q13_dry_run_slices(spark, sf_dir))
 
 
+# -- archives -----------------------------------------------------------------------------------------
+
+#: The files of an e-book archive.
+_CONTAINER = '<container xmlns="urn:oasis:names:tc:opendocument:xmlns:container"><rootfiles><rootfile full-path="OEBPS/book.opf"/></rootfiles></container>'
+
+
+def _archive(pages: pd.DataFrame) -> bytes:
+    """An e-book of pages, the last first; every seventh page is listed but lacks its file."""
+    pages, data = pages.sort_values("page_id", ascending=False), io.BytesIO()
+    kinds = {0: "image/png", 1: "Text/HTML"}
+    items = "".join(f'<item id="p{i}" href="text/p{i}.html" media-type="{kinds.get(i % 4, "application/xhtml+xml")}"/>' for i in pages["page_id"])
+    refs = "".join(f'<itemref idref="p{i}"/>' for i in pages["page_id"])
+    with zipfile.ZipFile(data, "w") as z:
+        z.writestr("META-INF/container.xml", _CONTAINER)
+        z.writestr("OEBPS/book.opf", f'<package xmlns="http://www.idpf.org/2007/opf"><manifest>{items}</manifest><spine>{refs}</spine></package>')
+        for i, page in zip(pages["page_id"], pages["html"], strict=True):
+            if i % 7:
+                z.writestr(f"OEBPS/text/p{i}.html", page)
+    return data.getvalue()
+
+
+def _archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty pages a book, packed and opened again."""
+
+    def packed(key: tuple, pages: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([(f"mem:/books/shelf{key[0] % 3}/{key[0]}.epub", _archive(pages))], columns=["path", "content"])
+
+    pages = _docs(spark, sf_dir, "pages").select(F.floor(F.col("page_id") / 20).alias("book"), "page_id", "html")
+    return open_archives(pages.groupBy("book").applyInPandas(packed, "path string, content binary"), "/books")
+
+
+def q25_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _archives(spark, sf_dir).select("book_id", "spine_pos", "href", "media_type", F.octet_length("content").alias("size"))
+
+
+def q26_book_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = book_paragraphs(_archives(spark, sf_dir))
+    return found.select("book_id", "para_no", F.sha2("text", 256).alias("digest"))
+
+
+_BOOKS_SQL = """b AS (SELECT *, concat('shelf', page_id // 20 % 3, '/', page_id // 20) AS book_id, row_number() OVER (PARTITION BY page_id // 20 ORDER BY page_id DESC) - 1 AS spine_pos FROM pages)"""
+
+
+# -- default rules ------------------------------------------------------------------------------------
+
+def q27_default_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules that come with the package, on sentences with noise put in."""
+    n = F.col("doc_id")
+    head = F.when(n % 3 == 0, F.lit("欢迎加入书友群 ")).when(n % 3 == 1, F.lit("求月票！ ")).otherwise(F.lit("a  　b Qq群 "))
+    noisy = F.transform(F.split("text", r"\. "), lambda x, i: F.when(i % 2 == 0, F.concat(head, x)).otherwise(F.replace(x, F.lit(" "), F.lit("  "))))
+    each = _docs(spark, sf_dir).select("doc_id", F.posexplode(rules.apply_rules(noisy, load_cleaning()[0])).alias("n", "r"))
+    return each.select("doc_id", (F.col("n") + 1).cast("long").alias("sent_no"), F.sha2("r.cur", 256).alias("digest"), F.array_join(F.transform("r.matches", lambda m: F.concat_ws("/", m["rule"], m["bucket"])), ",").alias("hits"))
+
+
+# -- slicing by a model -------------------------------------------------------------------------------
+
+def _proposals(prompt: list[dict]) -> str:
+    """Cuts at every line of the prompt that seven divides, or whose rest by eleven is three."""
+    numbers = [int(x.split("\t", 1)[0]) for x in prompt[-1]["content"].splitlines() if re.match(r"\d+\t", x)]
+    return json.dumps({"cuts": [{"end_line": n, "title": f"to {n}"} for n in numbers if n % 7 == 0 or n % 11 == 3]})
+
+
+def _scripted(options: ProviderOptions) -> ChatProvider:
+    """"mute" proposes nothing, "down" always fails, "once" fails on every first try and then proposes."""
+    tries: list[int] = []
+
+    def answer(prompt: list[dict]) -> str:
+        tries.append(0)
+        if options.name == "down" or options.name == "once" and len(tries) % 2:
+            raise ProviderError("out of order")
+        return _proposals(prompt) if options.name == "once" else '{"cuts": []}'
+
+    return ScriptedProvider(answer)
+
+
+def _by_model(spark: SparkSession, sf_dir: str, *names: str, **settings) -> DataFrame:
+    options = SliceOptions(provider_order=names, retry_max=2, retry_backoff_s=0.0, **settings)
+    known = {n: ProviderOptions(n, "scripted", "mem:", f"model-{n}", "key") for n in names}
+    return slice_books(_lines(spark, sf_dir), options, known, _scripted)
+
+
+def q28_model_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole book fits a prompt; the first service proposes nothing, the second needs a second try."""
+    found = _by_model(spark, sf_dir, "mute", "once", chunk_input_tokens=10**9)
+    return found.select("book_id", "slice_id", "start_line", "end_line", "char_len", "title", "provider", "model", F.sha2("text", 256).alias("digest"))
+
+
+def q29_model_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every service fails: one row a book tells of the chunk that got no answer."""
+    return _by_model(spark, sf_dir, "mute", "down").select("book_id", "slice_id", "start_line", "end_line", "error", "provider", "model")
+
+
+def q30_slices_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sinks.books_as_json(q13_dry_run_slices(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         q01_normalise, q02_paragraphs, q03_count_chars, q04_estimate_tokens, q05_split_lines, q06_sentences, q07_rule_drop, q08_rule_extract,
         q09_rule_replace, q10_bucket_counts, q11_chunk_bounds, q12_next_pointer, q13_dry_run_slices, q14_max_slices, q14b_slice_texts, q15_heading_flags,
         q16_inclusion, q17_leading_titles, q18_clean_lines, q18b_rule_log, q19_html_text, q20_spine_join, q21_parse_cuts, q22_choose_cuts, q23_prompt_body, q24_run_summary,
+        q25_archives, q26_book_paragraphs, q27_default_rules, q28_model_slices, q29_model_failure, q30_slices_as_json,
     )
 }
 
@@ -352,4 +458,27 @@ chain AS (SELECT book_id, CAST(1 AS BIGINT) AS slice_id, after_line, end_line FR
 SELECT c.book_id, c.slice_id, c.after_line + 1 AS start_line, c.end_line, b.total - a.total AS char_len FROM chain c JOIN origin a ON a.book_id = c.book_id AND a.line_no = c.after_line JOIN origin b ON b.book_id = c.book_id AND b.line_no = c.end_line""",
     "q23_prompt_body": "SELECT conv_id, string_agg(concat(turn + 1, chr(9), text), chr(10) ORDER BY turn, text) AS body FROM conversations GROUP BY 1",
     "q24_run_summary": O.dry_run(OPTIONS) + " SELECT book_id, count(*) AS slices_written, max(end_line) AS lines_covered, CAST(sum(char_len) AS BIGINT) AS chars_written, 'ok' AS status FROM slices GROUP BY 1",
+    "q25_archives": f"""WITH {_BOOKS_SQL}
+SELECT book_id, CAST(spine_pos AS INTEGER) AS spine_pos, concat('OEBPS/text/p', page_id, '.html') AS href, CASE WHEN page_id % 4 = 1 THEN 'Text/HTML' ELSE 'application/xhtml+xml' END AS media_type, CASE WHEN page_id % 7 <> 0 THEN CAST(strlen(html) AS INTEGER) END AS size FROM b WHERE page_id % 4 <> 0""",
+    "q26_book_paragraphs": f"""WITH {_BOOKS_SQL},
+t AS (SELECT book_id, spine_pos, {_HTML} AS text FROM b WHERE page_id % 4 <> 0 AND page_id % 7 <> 0),
+p AS ({O.unnest("t", "book_id, spine_pos", O.paragraphs(O.normalize("text")), "pos", "text")})
+SELECT book_id, row_number() OVER (PARTITION BY book_id ORDER BY spine_pos, pos) AS para_no, sha256(text) AS digest FROM p""",
+    "q27_default_rules": rf"""WITH s AS ({O.unnest("documents", "doc_id", "string_split(text, '. ')", "sent_no", "piece")}),
+x AS (SELECT doc_id, sent_no, CASE WHEN sent_no % 2 = 1 THEN concat(CASE doc_id % 3 WHEN 0 THEN '欢迎加入书友群 ' WHEN 1 THEN '求月票！ ' ELSE 'a  　b Qq群 ' END, piece) ELSE replace(piece, ' ', '  ') END AS x FROM s),
+h AS (SELECT *, regexp_matches(x, '书友群|QQ群|群号|公众号|关注公众号|下载APP|本站|更多精彩', 'i') AS h1, regexp_matches(x, '求(月票|订阅|推荐票|打赏|收藏|支持)|投票支持|订阅支持') AS h2, regexp_matches(x, '{O.WS}{{2,}}') AS h3 FROM x)
+SELECT doc_id, sent_no, CASE WHEN h1 THEN NULL WHEN h2 THEN sha256('') ELSE sha256(regexp_replace(x, '{O.WS}{{2,}}', ' ', 'g')) END AS digest,
+  CASE WHEN h1 THEN 'drop_watermark/watermark' WHEN h2 THEN 'extract_solicitation/solicitation' WHEN h3 THEN 'replace_double_spaces/normalize' ELSE '' END AS hits FROM h""",
+    "q30_slices_as_json": O.dry_run(OPTIONS) + """ SELECT book_id, concat('[', string_agg(concat('{"slice_id":', slice_id, ',"start_line":', start_line, ',"end_line":', end_line, ',"char_len":', char_len, '}'), ',' ORDER BY slice_id), ']') AS json FROM slices GROUP BY 1""",
 }
+
+#: Slices at the proposed cuts as q22 has them, and the rest of the book, which no cut ends, as the last one.
+ORACLE_SQL["q28_model_slices"] = ORACLE_SQL["q22_choose_cuts"].rpartition("\nSELECT")[0] + """,
+cut AS (SELECT book_id, slice_id, after_line, end_line, concat('to ', end_line) AS title FROM chain),
+rest AS (SELECT o.book_id, coalesce(max(c.slice_id), 0) + 1 AS slice_id, coalesce(max(c.end_line), 0) AS after_line, any_value(o.last_line) AS end_line FROM p o LEFT JOIN cut c ON c.book_id = o.book_id GROUP BY 1),
+every AS (SELECT * FROM cut UNION ALL SELECT book_id, slice_id, after_line, end_line, NULL FROM rest WHERE after_line < end_line),
+texts AS (SELECT e.book_id, e.slice_id, sha256(string_agg(l.text, chr(10) ORDER BY l.line_no)) AS digest FROM every e JOIN lines l ON l.book_id = e.book_id AND l.line_no > e.after_line AND l.line_no <= e.end_line GROUP BY 1, 2)
+SELECT e.book_id, e.slice_id, e.after_line + 1 AS start_line, e.end_line, b.total - a.total AS char_len, e.title, 'once' AS provider, 'model-once' AS model, t.digest
+FROM every e JOIN origin a ON a.book_id = e.book_id AND a.line_no = e.after_line JOIN origin b ON b.book_id = e.book_id AND b.line_no = e.end_line JOIN texts t ON t.book_id = e.book_id AND t.slice_id = e.slice_id"""
+ORACLE_SQL["q29_model_failure"] = ORACLE_SQL["q11_chunk_bounds"].rpartition("\nSELECT")[0] + """
+SELECT book_id, CAST(1 AS BIGINT) AS slice_id, start_line, coalesce(end_line, start_line) AS end_line, 'out of order' AS error, 'down' AS provider, 'model-down' AS model FROM chain WHERE chunk_no = 1"""

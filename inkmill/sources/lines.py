@@ -16,7 +16,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     A book is named by its path below ``path``.  Files are split at every line end that Python knows; one file is one row until then, so a file must fit a task.
     """
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    name = book_column(F.col("_metadata.file_path"), root_of(spark, path))
+    name = book_column(F.col("_metadata.file_path"), root_of(spark, path), encoded=True)
     each = files.select(name.alias("book_id"), F.posexplode(split_lines(F.col("value"))).alias("n", "text"))
     return each.select("book_id", (F.col("n") + 1).cast("long").alias("line_no"), "text")
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 _SCHEME = r"\A[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?"
-_ENDING = r"(?i)\.(?:epub|txt|text|md)\z"
+_ENDING = r"(?i)\.(?:epub|txt|text|md)$"
 
 
 def root_of(spark: SparkSession, path: str) -> str:
@@ -31,8 +31,8 @@ def book_name(path: str, root: str) -> str:
     return re.sub(_ENDING, "", below)
 
 
-def book_column(path: Column, root: str) -> Column:
-    """``book_name`` of a column of percent-encoded locations, as Spark's file metadata have them."""
-    plain = F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), _SCHEME, "")
-    below = F.when(F.startswith(plain, F.lit(root + "/")), F.substr(plain, F.lit(len(root) + 2))).otherwise(F.regexp_extract(plain, r"[^/]*\z", 0))
+def book_column(path: Column, root: str, encoded: bool = False) -> Column:
+    """``book_name`` of a column; ``encoded`` if it is percent-encoded, as locations in Spark's file metadata are."""
+    plain = F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))) if encoded else path, _SCHEME, "")
+    below = F.when(F.startswith(plain, F.lit(root + "/")), F.substr(plain, F.lit(len(root) + 2))).otherwise(F.regexp_extract(plain, "[^/]*$", 0))
     return F.regexp_replace(below, _ENDING, "")

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from inkmill.plans.cleaning import clean_paragraphs
 from inkmill.plans.config import Headings, Rule
 from inkmill.sources.epub import book_paragraphs, open_archives
-from inkmill.sources.names import root_of
+from inkmill.sources.names import book_column, root_of
 
 FILES = "path string, modificationTime timestamp, length long, content binary"
 
@@ -30,11 +30,12 @@ def clean_stream(spark: SparkSession, folder: str, rules: Sequence[Rule], headin
 
     def batch(df: DataFrame, _: int) -> None:
         docs = open_archives(df, root, keep_errors=True).persist()
+        books = df.select(book_column(F.col("path"), root).alias("book_id")).distinct()
         cleaned = clean_paragraphs(book_paragraphs(docs), rules, headings)
         with cleaned.once():
             for name, table in (("lines", cleaned.lines), ("extracted", cleaned.extracted), ("errors", docs.filter(F.col("error").isNotNull()).select("book_id", "error"))):
                 table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("book_id").parquet(f"{out}/{name}")
-                _clear(docs.select("book_id").distinct().join(table.select("book_id").distinct(), "book_id", "left_anti"), f"{out}/{name}")
+                _clear(books.join(table.select("book_id").distinct(), "book_id", "left_anti"), f"{out}/{name}")
         docs.unpersist()
 
     writer = files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)

@@ -28,3 +28,19 @@ def test_works_without_the_training_data_operators(tmp_path):
     shutil.copytree(f"{root}/inkmill", tmp_path / "inkmill", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=tmp_path, env=os.environ | {"PYTHONPATH": ""}, capture_output=True, text=True)
     assert done.stdout.split() == [str(len(QUERIES)), str(len(ORACLE_SQL))], done.stderr
+
+
+def test_faults_of_the_training_data_operators_are_seen(tmp_path):
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(__spark_entry__.__file__))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    shutil.copytree(f"{root}/inkmill", tmp_path / "inkmill", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    (tmp_path / "inkmill/llm").mkdir()
+    (tmp_path / "inkmill/llm/__init__.py").write_text("")
+    (tmp_path / "inkmill/llm/queries.py").write_text("import a_module_that_is_not_there")
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=tmp_path, env=os.environ | {"PYTHONPATH": ""}, capture_output=True, text=True)
+    assert done.returncode and "a_module_that_is_not_there" in done.stderr

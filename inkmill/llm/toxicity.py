@@ -178,7 +178,7 @@ class Channel:
     def joined(self, tokens: list[str]) -> Iterator[str]:
         """Words that a blank has cut; tokens of one letter each are for ``spaced``."""
         held = ""
-        for x, y in zip(tokens, [*tokens[1:], ""], strict=True):
+        for x, y in zip(tokens, [*tokens[1:], ""], strict=False):
             ends = f"{x[-2:]} {y[:2]}"
             noise = self.noise.get(ends)
             if noise is None:

@@ -27,6 +27,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 from math import log
+from operator import add
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -51,7 +52,7 @@ STARTS = (4, 6)
 CLASSES = 28
 BLANK, OTHER = 26, 27
 #: Entries after which a memo starts anew, and the longest token that is remembered.
-MEMO = 1 << 17
+MEMO = 1 << 18
 MEMO_SIGNS = 64
 #: Signs after which the best path so far is settled.
 PIECE = 1 << 16
@@ -100,6 +101,23 @@ def _written(path: tuple | None) -> str:
     return "".join(reversed(out))
 
 
+class _Noise(dict):
+    """Decisions on blanks by the signs around them, made on demand."""
+
+    def __init__(self, channel: Channel):
+        super().__init__()
+        self.channel = channel
+
+    def __missing__(self, ends: str) -> bool:
+        if len(self) >= MEMO:
+            self.clear()
+        self[ends] = found = self.channel._is_noise(ends)
+        return found
+
+    def __reduce__(self):
+        return _Noise, (self.channel,)
+
+
 class Channel:
     """Character model and decoder."""
 
@@ -108,7 +126,7 @@ class Channel:
         self.logp = np.log(cube / cube.sum(2, keepdims=True)).tolist()
         self.memo: dict[tuple[str, float], str] = {}
         self.steps_of: dict[tuple[str, float], list[tuple[str, int, float]]] = {}
-        self.noise: dict[str, bool] = {}
+        self.noise = _Noise(self)
 
     def steps(self, sign: str, drop: float) -> list[tuple[str, int, float]]:
         """(what is written, its class or -1 for nothing, log probability) of every step that reads ``sign``."""
@@ -166,8 +184,8 @@ class Channel:
         return known
 
     def _is_noise(self, ends: str) -> bool:
-        """Is the blank in ``ends``, up to two letters before and behind it, likelier noise than a word's end?"""
-        x, _, y = ends.partition(" ")
+        """Is a blank likelier noise than a word's end?  ``ends``: two signs before it, a blank for lack of one, and up to two behind."""
+        x, y = ends[:2].lstrip(), ends[2:]
         if not (x.isalpha() and y.isalpha()):
             return False
         a, b = [_class(c) for c in x] if len(x) == 2 else (BLANK, _class(x))
@@ -177,19 +195,16 @@ class Channel:
 
     def joined(self, tokens: list[str]) -> Iterator[str]:
         """Words that a blank has cut; tokens of one letter each are for ``spaced``."""
-        held = ""
-        for x, y in zip(tokens, [*tokens[1:], ""], strict=False):
-            ends = f"{x[-2:]} {y[:2]}"
-            noise = self.noise.get(ends)
-            if noise is None:
-                if len(self.noise) >= MEMO:
-                    self.noise.clear()
-                noise = self.noise[ends] = self._is_noise(ends)
-            if noise and len(x) + len(y) > 2:
-                held = (held or x) + y
-            elif held:
-                yield from WORD.findall(held)
-                held = ""
+        ends = map(add, [(" " + t)[-2:] for t in tokens], [t[:2] for t in tokens[1:]])
+        held, last = "", -1
+        for i in [i for i, noise in enumerate(map(self.noise.__getitem__, ends)) if noise]:
+            if len(tokens[i]) + len(tokens[i + 1]) > 2:
+                if held and i != last:
+                    yield from WORD.findall(held)
+                    held = ""
+                held = (held or tokens[i]) + tokens[i + 1]
+                last = i + 1
+        yield from WORD.findall(held)
 
     def words_of_token(self, token: str) -> set[str]:
         """The words of a token without white space, as written and as meant; the token is in lower case."""
@@ -253,6 +268,10 @@ def features(word: str) -> list[str]:
     return [word, *(f"^{word[:n]}" for n in STARTS if len(word) > n)]
 
 
+#: What most tokens tell.
+NOTHING: dict[str, float] = {}
+
+
 class Scorer:
     """Lexicon and regression."""
 
@@ -294,7 +313,7 @@ class Scorer:
         for t in set(tokens):
             known = self.known.get(t)
             if known is None:
-                known = self._shares(self.channel.words_of_token(t))
+                known = self._shares(self.channel.words_of_token(t)) or NOTHING
                 if len(t) <= MEMO_SIGNS:
                     if len(self.known) >= MEMO:
                         self.known.clear()

@@ -106,7 +106,8 @@ def near_duplicates(df: DataFrame, key: str, text: str) -> DataFrame:
     grouped = _grouped(prints)
     least = prints.groupBy("fp").agg(F.min("k").alias("least"))  # one row for each fingerprint from here
     named = grouped.join(least, "fp")
-    component = named.groupBy("group").agg(F.min("least").alias("component"))
+    named = store(named, "least")
+    component = store(named.groupBy("group").agg(F.min("least").alias("component")), "component")
     named = store(named.join(component, "group").select("fp", "component"), "named")
     return prints.join(named, "fp").select(F.col("k").alias(key), "fp", "component")
 
@@ -126,7 +127,8 @@ def keep_one(df: DataFrame, key: str, text: str) -> DataFrame:
     picked = df.select(F.col(key).alias("k"), F.coalesce(digest(text), F.lit(b"")).alias("d"), F.col(text).alias("t"))
     prints = store(map_rows(picked, f"k {picked.schema['k'].dataType.simpleString()}, d binary, fp long", rows), "prints")
     each = store(prints.join(_grouped(prints), "fp").groupBy("group", "k", "d").agg(F.count("*").alias("n")), "members")
-    first = each.groupBy("group").agg(F.min(F.struct(F.col("k").isNull().alias("none"), "k", "d")).alias("first"))
+    # stored, so that the join's sides are plain exchanges, of which a hot group's can be split
+    first = store(each.groupBy("group").agg(F.min(F.struct(F.col("k").isNull().alias("none"), "k", "d")).alias("first")), "first")
     stays = F.col("first.k").eqNullSafe(F.col("k")) & (F.col("first.d") == F.col("d"))
     judged = store(each.join(first, "group").filter(~stays | (F.col("n") > 1)).select(F.col("k").alias(f"{mark}_kk"), F.col("d").alias(f"{mark}_dd"), stays.alias("stays")), "judged")
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from inkmill.llm.common import map_rows
 
-#: Entries after which a memo starts anew; memory stays bounded on any corpus.
+#: Entries of a memo's young half, and so of its old one; memory stays bounded on any corpus.
 PIECES = 1 << 17
 PAIRS = 1 << 18
 
@@ -38,20 +38,23 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
-class Pieces(dict):
-    """piece -> its ids as little-endian 32-bit bytes, computed on demand."""
+class Memo(dict):
+    """Results on demand, in two halves: when the young one is full it becomes the old one, from which what is asked for returns."""
 
-    def __init__(self, encode):
+    def __init__(self, compute, size: int):
         super().__init__()
-        self.encode = encode
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = array("I", self.encode(piece.encode("utf-8"))).tobytes()
-        if len(piece) <= 64:
-            if len(self) >= PIECES:
+        self.compute, self.size, self.old = compute, size, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.compute(key)
+        if not isinstance(key, str) or len(key) <= 64:
+            if len(self) >= self.size:
+                self.old = dict(self)
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[key] = found
+        return found
 
 
 class Codec:
@@ -63,8 +66,9 @@ class Codec:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.split = regex.compile(pattern)
-        self.pairs: dict[int, bool] = {}  # by both ids as one number
-        self.pieces = Pieces(self.encode_piece)
+        self.pairs = Memo(self._adjacent, PAIRS)  # by both ids as one number
+        #: piece -> its ids as little-endian 32-bit bytes
+        self.pieces = Memo(lambda piece: array("I", self.encode_piece(piece.encode("utf-8"))).tobytes(), PIECES)
         # tokens that merging never makes can only stand for a whole piece, which is looked up first
         usable = {token: rank for token, rank in ranks.items() if len(token) == 1 or self.merge(token) == [rank]}
         self.machine = ahocorasick.Automaton()
@@ -89,21 +93,16 @@ class Codec:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return [self.ranks[p] for p in parts]
 
-    def adjacent(self, a: int, b: int) -> bool:
-        """May token b follow token a?"""
-        pair = a << 32 | b
-        known = self.pairs.get(pair)
-        if known is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            known = self.pairs[pair] = self.merge(self.tokens[a] + self.tokens[b]) == [a, b]
-        return known
+    def _adjacent(self, pair: int) -> bool:
+        """May the token of the low half follow that of the high half?"""
+        a, b = pair >> 32, pair & 0xFFFFFFFF
+        return self.merge(self.tokens[a] + self.tokens[b]) == [a, b]
 
     def encode_piece(self, data: bytes) -> list[int]:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        tokens, adjacent, shorter = self.tokens, self.adjacent, self.shorter
+        tokens, pairs, shorter = self.tokens, self.pairs, self.shorter
         longest = array("i", [-1]) * len(data)
         for end, rank in self.machine.iter(data.decode("latin-1")):
             longest[end + 1 - len(tokens[rank])] = rank  # ends ascend, so the last is the longest
@@ -113,7 +112,7 @@ class Codec:
         while at < len(data):
             while token >= 0:
                 end = at + len(tokens[token])
-                if not dead[end] and (not out or adjacent(out[-1], token)):
+                if not dead[end] and (not out or pairs[out[-1] << 32 | token]):
                     break
                 token = shorter.get(token, -1)
             if token >= 0:

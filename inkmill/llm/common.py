@@ -26,9 +26,8 @@ FLUSH_ROWS = 2_000
 FLUSH_SIZE = 4_000_000
 #: Bytes after which Spark ends an Arrow batch of input rows; a longer row is a batch of its own.
 BATCH_BYTES = 4 << 20
-#: Rows that Spark's Parquet reader holds at once, and bytes of its buffers: arrays of over half a megabyte are costly
-#: for the JVM, which gives each a region of its own and grows the heap for them.
-BATCH_ROWS = 256
+#: Bytes of Parquet's buffers and pages: arrays of over half a megabyte are costly for the JVM, which gives each regions
+#: of its own and grows the heap for them.
 BUFFER_BYTES = 1 << 18
 #: How stored tables are written: row groups of which a task can hold several.
 WRITE_OPTIONS = {"compression": "zstd", "parquet.block.size": str(16 << 20)}
@@ -101,8 +100,7 @@ def small(table: DataFrame, limit: int | None = None) -> bool:
 
 #: Spark's limits of a batch between Parquet, JVM and Python: name, the defaults, and what long texts need.
 BATCH_LIMITS = (
-    ("spark.sql.execution.arrow.maxBytesPerBatch", ("67108864b", "64MB"), f"{BATCH_BYTES}b"),
-    ("spark.sql.parquet.columnarReaderBatchSize", ("4096",), str(BATCH_ROWS)),
+    ("spark.sql.execution.arrow.maxBytesPerBatch", (None, "67108864b", "64MB"), f"{BATCH_BYTES}b"),
     ("parquet.read.allocation.size", (None, "8388608"), str(BUFFER_BYTES)),
     ("parquet.page.size", (None, "1048576"), str(BUFFER_BYTES)),
     ("parquet.dictionary.page.size", (None, "1048576"), str(BUFFER_BYTES)),

@@ -5,10 +5,11 @@ get MinHash signatures, cut in BANDS bands of ROWS rows: two paragraphs of Jacca
 band with probability 0.998.  Those that share a band with others are verified by their exact Jaccard
 similarity, and links close to components; each component keeps its first paragraph.
 
-A passage need not fill a line.  Every text is also covered by anchors of ANCHOR words, of which each stretch of
-PICK picks the one with the least hash, in all texts alike; so two texts with a common run of PASSAGE words share
-one.  Windows of PASSAGE words around anchors that stand in several texts are compared, hence every text with a
-common run of PASSAGE words or more is found, and the run up to some words at its ends.
+A passage need not fill a line.  Every window of PASSAGE words picks an anchor, the one of its PICK runs of ANCHOR words
+that has the least hash, the first of equal ones; so equal windows pick equal anchors at equal places.  The windows that
+pick an anchor are one stretch of text.  Where all places of an anchor have equal stretches, these are the common runs;
+where they differ, all windows of each different stretch are compared.  Hence every common run of PASSAGE words or more
+is found, from its first to its last word.
 
 The removals of a document are its repeated paragraphs of PASSAGE words or more and its passages.  Shorter
 paragraphs that repeat, such as licence lines and headings, are told in columns of their own: they make no
@@ -28,8 +29,6 @@ come before the exact test and only similar pairs leave the join; so a band of n
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
-from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +47,6 @@ PASSAGE = 50
 #: Words of an anchor, and of how many neighbouring ones the least is picked: together a passage.
 ANCHOR, PICK = 26, 25
 BANDS, ROWS = 9, 3
-#: Words from an anchor back, or on, at which windows are tried where a run ends.
-STEPS = (1, 2, 4, 8, 16)
 #: Bytes of a table of hashes that may be broadcast; joins with larger ones shuffle rows of hashes.
 MEET_BYTES = 8 << 20
 #: Bits of the map that stands for a paragraph's shingles before they are compared.
@@ -118,26 +115,27 @@ def _split(text: str) -> list[list[bytes]]:
     return [line.split() for line in text.encode("utf-8").lower().split(b"\n")]
 
 
-UNITS = "doc long, start int, n int, hash long, bands array<long>, ahead long, ahead_at int, behind long, behind_at int"
+UNITS = "doc long, start int, n int, hash long, bands array<long>, stretch long"
 
 
-def _anchors(hashes: np.ndarray) -> np.ndarray:
-    """Places picked: the least of every PICK neighbours."""
-    view = np.lib.stride_tricks.sliding_window_view(hashes, min(PICK, len(hashes)))
-    at = np.unique(view.argmin(1) + np.arange(len(view)))
-    if len(at) > 2:  # of one word over and over, a few
-        h = hashes[at]
-        same = np.zeros(len(at), bool)
-        same[1:-1] = (h[1:-1] == h[:-2]) & (h[1:-1] == h[2:]) & (at[2:] - at[:-2] == 2) & (at[1:-1] % ANCHOR > 0)
-        at = at[~same]
-    return at
+def _anchors(hashes: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, number of windows, hash) of every anchor; the windows that pick it follow each other."""
+    picks = np.lib.stride_tricks.sliding_window_view(hashes, PICK).argmin(1) + np.arange(len(windows))
+    first = np.flatnonzero(np.diff(picks, prepend=-1))
+    many = np.diff(first, append=len(picks))
+    # of one word over and over, a few: windows like those around them say nothing new and lie inside of others that stay
+    same = np.zeros(len(windows), bool)
+    equal = windows[1:] == windows[:-1]
+    same[2:-1] = equal[:-2] & equal[1:-1] & equal[2:]
+    kept = ~(same[first] & (first % ANCHOR > 0))
+    first = first[kept]
+    return first, many[kept], hashes[picks[first]]
 
 
 def units(df: DataFrame, key: str, text: str) -> DataFrame:
     """Written table UNITS of every paragraph (with bands) and every anchor (without).
 
-    ``ahead`` and ``behind`` are the hashes of the windows of PASSAGE words that begin or end with an anchor, or of the
-    text's last or first such window where it ends before.
+    An anchor's ``start``, ``n`` and ``stretch`` are those of the words of all windows that pick it, ``hash`` is its own.
     """
     spark_schema = schema_of(UNITS)
     arrow = to_arrow_schema(spark_schema)
@@ -157,21 +155,15 @@ def units(df: DataFrame, key: str, text: str) -> DataFrame:
             return
         hasher.load(words)
         grams, windows = hasher.grams(ANCHOR, 1), hasher.grams(PASSAGE, 4)
-        found = [(k, a, b, _anchors(grams[a : b - ANCHOR + 1])) for k, a, b in spans if b - a >= ANCHOR]
+        found = [(k, a, _anchors(grams[a : b - ANCHOR + 1], windows[a : b - PASSAGE + 1])) for k, a, b in spans if b - a >= PASSAGE]
         if found:
-            many = np.array([len(at) for *_, at in found])
-            keys, first, last = (np.repeat(np.array([x[i] for x in found], np.int64), many) for i in range(3))
-            at = np.concatenate([at for *_, at in found])
-            place = first + at
-
-            def hashes(starts: np.ndarray) -> list[pa.Array]:
-                starts = np.clip(starts, first, np.maximum(last - PASSAGE, first))
-                lacks = last - first < PASSAGE
-                held = windows[np.minimum(starts, len(windows) - 1)] if len(windows) else np.zeros(len(starts), np.uint64)
-                return [pa.array(held.view(np.int64), mask=lacks), pa.array((starts - first).astype(np.int32), mask=lacks)]
-
-            none = pa.nulls(len(at), arrow.field("bands").type)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(at.astype(np.int32)), pa.array(np.full(len(at), ANCHOR, np.int32)), pa.array(grams[place].view(np.int64)), none, *hashes(place), *hashes(place + ANCHOR - PASSAGE)], schema=arrow)
+            each = [len(first) for *_, (first, _, _) in found]
+            keys, base = (np.repeat(np.array([x[i] for x in found], np.int64), each) for i in range(2))
+            starts, many, hashes = (np.concatenate([x[2][i] for x in found]) for i in range(3))
+            n = many + PASSAGE - 1
+            stretches = hasher.runs(base + starts, base + starts + n, 4)
+            none = pa.nulls(len(keys), arrow.field("bands").type)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(starts.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(hashes.view(np.int64)), none, pa.array(stretches.view(np.int64))], schema=arrow)
         if lines:
             keys, base, starts, ends = (np.array(c, np.int64) for c in zip(*lines, strict=True))
             shingles = hasher.grams(SHINGLE, 3)
@@ -184,8 +176,7 @@ def units(df: DataFrame, key: str, text: str) -> DataFrame:
                 bands[i // ROWS] = _mix(bands[i // ROWS] ^ np.minimum.reduceat(values, flat)[::2].astype(np.uint64)) + _U(i // ROWS + 1)
             offsets = pa.array(np.arange(0, BANDS * len(lines) + 1, BANDS, dtype=np.int32))
             lists = pa.ListArray.from_arrays(offsets, pa.array(bands.T.ravel().view(np.int64)), type=arrow.field("bands").type)
-            none = [pa.nulls(len(lines), kind) for kind in (pa.int64(), pa.int32())] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array((starts - base).astype(np.int32)), pa.array((ends - starts).astype(np.int32)), pa.array(hasher.runs(starts, ends, 2).view(np.int64)), lists, *none], schema=arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array((starts - base).astype(np.int32)), pa.array((ends - starts).astype(np.int32)), pa.array(hasher.runs(starts, ends, 2).view(np.int64)), lists, pa.nulls(len(lines), pa.int64())], schema=arrow)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, docs, n = Hasher(), [], 0
@@ -228,41 +219,48 @@ def _verified(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").filter(_similar(F.col("sa"), F.col("sb"))).select("a", "b")
 
 
-FETCHED = "hash long, set array<long>, map array<long>, doc long, at int, w long"
+FETCHED = "hash long, set array<long>, map array<long>, doc long, at int, stretch long, n int, last long, windows array<long>"
+
+
+def _stretch(*columns: Column) -> Column:
+    """A stretch: its hash and words; the last document that has it, and the hashes of its windows, for one place of each."""
+    return F.struct(*(c.cast(kind).alias(name) for c, name, kind in zip(columns, ("stretch", "n", "last", "windows"), ("long", "int", "long", "array<long>"), strict=True))).alias("w")
 
 
 def fetched(df: DataFrame, key: str, text: str, wanted: DataFrame, ends: DataFrame) -> DataFrame:
-    """Written table FETCHED of what the texts themselves must tell, each text read once.
+    """What the texts themselves must tell, each text read once, as a written table.
 
-    Rows with a hash hold the shingles of the paragraphs ``wanted(hash, doc, start, n)``; the others are the windows
-    (doc, at, w) around the anchors ``ends(doc, start, all, back, on)``.
+    Rows with a hash hold the shingles of the paragraphs ``wanted(hash, doc, start, n)``; the others are all windows
+    of the stretches ``ends(doc, start, n, stretch, last)``, as passage_hits takes them.
     """
-    none, no = F.lit(None).cast("long"), F.lit(False)
-    lines = wanted.select("doc", "start", "n", "hash", no.alias("all"), no.alias("back"), no.alias("on"))
-    places = lines.unionByName(ends.select("doc", "start", none.cast("int").alias("n"), none.alias("hash"), "all", "back", "on"))
-    by_doc = store(places.groupBy("doc").agg(F.collect_list(F.struct("start", "n", "hash", "all", "back", "on")).alias("places")), "places")
+    none = F.lit(None).cast("long")
+    lines = wanted.select("doc", "start", "n", "hash", none.alias("stretch"), none.alias("last"))
+    places = lines.unionByName(ends.select("doc", "start", "n", none.alias("hash"), "stretch", "last"))
+    by_doc = store(places.groupBy("doc").agg(F.collect_list(F.struct("start", "n", "hash", "stretch", "last")).alias("places")), "places")
 
     def rows(source: Iterator[tuple]) -> Iterator[tuple]:
         hasher = Hasher()
-        steps = {"all": np.arange(ANCHOR - PASSAGE, 1), "back": -np.array(STEPS), "on": ANCHOR - PASSAGE + np.array(STEPS)}
         for doc, t, held in source:
             words = t.encode("utf-8").lower().split()
             hasher.load(words)
             for p in held:
-                a, b = p["start"], p["start"] + (p["n"] or 0)
-                if p["n"] and b <= len(words) and hasher.runs(np.array([a]), np.array([b]), 2).view(np.int64)[0] == p["hash"]:
+                a, b = p["start"], p["start"] + p["n"]
+                is_line = p["hash"] is not None
+                # rows that repeat a key may have other words there
+                if b > len(words) or hasher.runs(np.array([a]), np.array([b]), 2 if is_line else 4).view(np.int64)[0] != p["hash" if is_line else "stretch"]:
+                    continue
+                if is_line:
                     starts = np.arange(a, max(a + 1, b - SHINGLE + 1))
                     found = np.unique(hasher.runs(starts, starts + SHINGLE, 3).view(np.int64))
-                    yield p["hash"], found.tolist(), bitmap(found), None, None, None
-            tried = [(np.array([p["start"] for p in held if p[kind]], np.int64)[:, None] + step).ravel() for kind, step in steps.items()]
-            at = np.unique(np.concatenate(tried))
-            at = at[(at >= 0) & (at + PASSAGE <= len(words))]
-            for a, w in zip(at.tolist(), hasher.runs(at, at + PASSAGE, 4).view(np.int64).tolist(), strict=True):
-                yield None, None, None, doc, a, w
+                    yield p["hash"], found.tolist(), bitmap(found), None, None, None, None, None, None
+                else:
+                    starts = np.arange(a, b - PASSAGE + 1)
+                    yield None, None, None, doc, a, p["stretch"], p["n"], p["last"], hasher.runs(starts, starts + PASSAGE, 4).view(np.int64).tolist()
 
     # the same join at every size: texts move by document, once
     joined = _texts(df, key, text).join(by_doc.hint("merge"), "doc").select("doc", "t", "places")
-    return store(map_rows(joined, FETCHED, rows), "fetched")
+    told = store(map_rows(joined, FETCHED, rows), "fetched")
+    return told.select("hash", "set", "map", "doc", "at", _stretch(*map(F.col, ("stretch", "n", "last", "windows"))))
 
 
 def line_members(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -309,41 +307,42 @@ def paragraph_hits(lines: DataFrame, groups: DataFrame, seen: DataFrame) -> Data
 
 
 def run_ends(found: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Windows (doc, at, w) that begin or end with a shared anchor, and the anchors around which runs end.
+    """The stretches (doc, at, w) of all shared anchors, and one place of each different stretch of anchors that have several.
 
-    Around an anchor where neither window is shared in some text, ``all`` windows are wanted; where one is not, a run
-    ends, and windows at STEPS ``back`` or ``on`` tell where.
+    In the first table, a stretch that is its anchor's only one has a further row, its first place, without windows.
     """
-    anchors = store(_meet(found.filter("bands is null").drop("bands", "n"), seen, "hash"), "anchors")
-    sides = F.array(*(F.struct(F.col(f"{side}_at").alias("at"), F.col(side).alias("w")) for side in ("ahead", "behind")))
-    known = anchors.select("doc", F.explode(sides).alias("s")).select("doc", "s.*").filter("w is not null")
-    shared = store(known.groupBy("w").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a <> b").select("w"), "shared")
-    sided = anchors.filter("ahead is not null")
-    for side in ("ahead", "behind"):
-        table = shared.select(F.col("w").alias(side), F.lit(True).alias(f"{side}_is"))
-        sided = _meet(sided, table, side, "left")
-    sided = store(sided, "sided")
-    # a run that ends at an anchor in one text may go on in another: all places of the anchor are treated alike
-    alone = lambda *sides: F.max(reduce(and_, (F.col(f"{side}_is").isNull() for side in sides)))
-    ends = sided.groupBy("hash").agg(alone("ahead", "behind").alias("all"), alone("ahead").alias("back"), alone("behind").alias("on")).filter("back or on")
-    ends = _meet(anchors.filter("ahead is not null"), store(ends, "ends"), "hash")
-    # shared windows alone: others that a text shares are tried at the same places around its anchors
-    sides = F.array(*(F.struct(F.col(f"{side}_at").alias("at"), F.col(side).alias("w"), F.col(f"{side}_is").alias("is")) for side in ("ahead", "behind")))
-    known = sided.select("doc", F.explode(F.filter(sides, lambda x: x["is"])).alias("s")).select("doc", "s.at", "s.w")
-    return known, ends.select("doc", "start", "all", "back", "on").distinct()
+    anchors = store(_meet(found.filter("bands is null").drop("bands"), seen, "hash"), "anchors")
+    each = store(anchors.groupBy("hash", "stretch", "n").agg(F.min(F.struct("doc", "start")).alias("place"), F.max("doc").alias("last")), "each")
+    mixed = store(each.groupBy("hash").agg(F.min("stretch").alias("x"), F.max("stretch").alias("y")).filter("x <> y").select("hash", F.lit(True).alias("mixed")), "mixed")
+    each = store(_meet(each, mixed, "hash", "left").select("place.*", "n", "stretch", "last", "mixed"), "stretches")
+    none, at = F.lit(None), F.col("start").alias("at")
+    every = anchors.select("doc", at, _stretch(F.col("stretch"), F.col("n"), none, none))
+    alike = each.filter("mixed is null").select("doc", at, _stretch(F.col("stretch"), F.col("n"), F.col("last"), F.array()))
+    return every.union(alike), each.filter("mixed").drop("mixed")
 
 
 def passage_hits(windows: DataFrame) -> DataFrame:
-    """Written table (doc, start, n, keeper_doc, keeper_start) of runs of PASSAGE words or more that stand in several documents."""
-    windows = store(windows, "windows")
-    kept = windows.groupBy("w").agg(F.min(F.struct("doc", "at")).alias("keeper"), F.max("doc").alias("last")).filter("keeper.doc <> last")
-    kept = store(kept.select("w", F.col("keeper.doc").alias("keeper_doc"), F.col("keeper.at").alias("keeper_start")), "kept")
-    hits = _meet(windows, kept, "w").select("doc", "at", "keeper_doc", (F.col("keeper_start") - F.col("at")).alias("way"))
-    # windows that overlap or touch, of one keeper and at one distance from it, are one passage
-    along = Window.partitionBy("doc", "keeper_doc", "way").orderBy("at")
-    starts = hits.withColumn("new", F.coalesce(F.col("at") - F.lag("at").over(along) > PASSAGE, F.lit(True)).cast("int"))
+    """Written table (doc, start, n, keeper_doc, keeper_start) of runs of PASSAGE words or more that stand in several documents.
+
+    ``windows(doc, at, w)`` are the places of stretches, and again one place of each: with its windows, or with none if
+    its first place keeps all of it.
+    """
+    every = windows.filter("w.windows is null").select("doc", "at", "w.stretch")
+    alike = windows.filter("size(w.windows) = 0 and doc <> w.last").select("w.stretch", F.col("doc").alias("keeper_doc"), F.col("at").alias("way"), F.lit(0).alias("low"), F.col("w.n").alias("high"))
+    told = windows.filter("size(w.windows) > 0").select("doc", "at", "w.stretch", "w.last", F.posexplode("w.windows").alias("off", "window"))
+    kept = told.groupBy("window").agg(F.min(F.struct("doc", (F.col("at") + F.col("off")).alias("at"))).alias("keeper"), F.max("last").alias("last")).filter("keeper.doc <> last")
+    kept = store(kept.select("window", F.col("keeper.doc").alias("keeper_doc"), F.col("keeper.at").alias("keeper_start")), "kept")
+    # from its first to its last window of one keeper at one distance, a stretch is the keeper's text
+    way = (F.col("keeper_start") - F.col("off")).alias("way")
+    parts = _meet(told.select("stretch", "off", "window"), kept, "window").groupBy("stretch", "keeper_doc", way).agg(F.min("off").alias("low"), (F.max("off") + PASSAGE).alias("high"))
+    runs = store(alike.union(parts), "runs")
+    hits = _meet(every, runs, "stretch").select("doc", (F.col("at") + F.col("low")).alias("start"), (F.col("at") + F.col("high")).alias("end"), "keeper_doc", (F.col("way") - F.col("at")).alias("way"))
+    # runs that overlap or touch, of one keeper and at one distance from it, are one passage
+    along = Window.partitionBy("doc", "keeper_doc", "way").orderBy("start")
+    before = F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    starts = hits.withColumn("new", F.coalesce(F.col("start") > before, F.lit(True)).cast("int"))
     numbered = starts.withColumn("passage", F.sum("new").over(along))
-    whole = numbered.groupBy("doc", "keeper_doc", "way", "passage").agg(F.min("at").alias("start"), (F.max("at") + PASSAGE - F.min("at")).alias("n"))
+    whole = numbered.groupBy("doc", "keeper_doc", "way", "passage").agg(F.min("start").alias("start"), (F.max("end") - F.min("start")).alias("n"))
     return store(whole.select("doc", "start", "n", "keeper_doc", (F.col("start") + F.col("way")).alias("keeper_start")), "passages")
 
 

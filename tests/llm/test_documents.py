@@ -684,6 +684,63 @@ def test_passages_against_all_runs(docs, monkeypatch, limit):
             assert c in (classes[i]["class_doc"], classes[classes[i]["class_doc"]]["class_doc"]) or classes[i]["class_doc"] < c
 
 
+def plain_links(texts, width):
+    """{document: (class, places of the keepers of its passages, words to remove)} by all windows of ``width`` words."""
+    held, split = {}, {i: (t or "").lower().split() for i, t in texts.items()}
+    for i, w in sorted(split.items()):
+        for at in range(len(w) - width + 1):
+            held.setdefault(tuple(w[at : at + width]), []).append((i, at))
+    class_of = {i: i for i in texts}
+    links, removed = {i: set() for i in texts}, {i: set() for i in texts}
+    shared = [places for places in held.values() if places[0][0] != places[-1][0]]
+    for places in shared * len(texts):
+        low = min(class_of[i] for i, _ in places)
+        if all(class_of[i] == low for i, _ in places):
+            continue
+        class_of |= {i: low for i, _ in places}
+    at_way = {}
+    for places in shared:
+        keeper, start = places[0]
+        for i, at in places:
+            at_way.setdefault((i, keeper, start - at), []).append(at)
+    for (i, keeper, way), found in at_way.items():
+        found.sort()
+        for n, at in enumerate(found):
+            if n == 0 or at - found[n - 1] > width:
+                links[i].add((keeper, at + way))
+                passage = at
+            if (keeper, passage + way) != (i, passage):
+                removed[i] |= set(range(at, at + width))
+    return {i: (class_of[i], links[i], removed[i]) for i in texts}
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 25])
+def test_every_window_of_every_text_counts(docs, monkeypatch, limit):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+    rng = random.Random(43)
+    pool = [words(rng, n).split() for n in (20, 30, 49, 50, 51, 55, 60, 73, 74, 75, 90, 140)]
+    texts = {}
+    for i in range(80):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            p = rng.choice(pool)
+            a, b = sorted((rng.randint(0, len(p)), rng.randint(0, len(p))))
+            parts += rng.choice([p, p[:b], p[a:], p[a:b]]) + words(rng, rng.choice([0, 1, 3, 30])).split()
+        texts[i] = " ".join(parts)
+    texts |= {90: f"{texts[7]} {texts[7]}", 91: texts[7], 92: "x " * 130 + "y z", 93: "a b " * 70, 94: "y " + "x " * 90 + "z", 95: "b a " * 40}
+    # two texts whose one common run has surroundings that further texts have, each on one side
+    one, two, left, right = (words(rng, 40) for _ in range(4))
+    run = words(rng, 52).split()
+    texts |= {100: " ".join([one, *run, left]), 101: " ".join([two, *run, right]), 102: " ".join([one, *run[:45]]), 103: " ".join([*run[7:], left]), 104: " ".join([two, *run[:45]]), 105: " ".join([*run[7:], right])}
+    # in lines of four words, which are no paragraphs
+    texts = {i: re.sub(r"(\S+ \S+ \S+ \S+) ", r"\1\n", t) for i, t in texts.items()}
+    got = {}
+    for r in paragraphs.classes(docs(list(texts.items())), "doc_id", "text").collect():
+        removed = {w for s in r["removed"] for w in range(s["a"], s["b"])}
+        got[r["doc_id"]] = r["class_doc"], {tuple(x) for x in r["links"]}, removed
+    assert got == plain_links(texts, 50)
+
+
 def test_short_lines_are_told_apart(docs):
     rng = random.Random(13)
     rows, want = [], {}

@@ -10,11 +10,11 @@ from __future__ import annotations
 import io
 import posixpath
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkmill.functions.markup import html_text
@@ -97,9 +97,9 @@ def open_archives(files: DataFrame, root: str, keep_errors: bool = False) -> Dat
     return files.select("path", "content").mapInPandas(opened, DOCS)
 
 
-def book_paragraphs(docs: DataFrame) -> DataFrame:
+def book_paragraphs(docs: DataFrame, text_of: Callable[[Column], Column] = html_text) -> DataFrame:
     """(book_id, para_no, text): normalised paragraphs, numbered through the whole book."""
-    text = normalize(html_text(F.col("content")))
+    text = normalize(text_of(F.col("content")))
     each = docs.filter("content is not null").select("book_id", "spine_pos", F.posexplode(paragraphs(text)).alias("pos", "text"))
     order = Window.partitionBy("book_id").orderBy("spine_pos", "pos")
     return each.select("book_id", F.row_number().over(order).cast("long").alias("para_no"), "text")

@@ -26,3 +26,7 @@ def test_closed_references():
 
 def test_html_text_of_cut_pages(spark, cut):
     assert_same(spark, QUERIES["q19_html_text"], ORACLE_SQL["q19_html_text"], cut)
+
+
+def test_book_paragraphs_of_cut_pages(spark, cut):
+    assert_same(spark, QUERIES["q26_book_paragraphs"], ORACLE_SQL["q26_book_paragraphs"], cut)

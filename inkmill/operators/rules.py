@@ -50,7 +50,7 @@ def _step(rule: Rule):
         elif left is None:
             left = F.raise_error(F.lit(_unknown(rule))).cast("string")
         row = F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.bucket).alias("bucket"), cur.alias("text"))
-        return F.struct(F.when(hit, left).otherwise(cur).alias("cur"), F.when(hit, F.concat(matches, F.array(row))).otherwise(matches).alias("matches"))
+        return F.when(hit, F.struct(left.alias("cur"), F.concat(matches, F.array(row)).alias("matches"))).otherwise(state)  # one test for both
 
     return step
 

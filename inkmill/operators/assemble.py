@@ -60,7 +60,9 @@ def treat(paragraphs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(book_id, para_no, line, lead, tail, matches) of every paragraph of the body, each in the variant that holds."""
     lead = F.regexp_extract(T.strip_left(F.col("text")), f"\\A[{T.CLOSE_QUOTES}]+", 0)
     rest = T.strip_left(F.substr(T.strip_left(F.col("text")), F.length("lead") + 1))
-    both = paragraphs.withColumn("lead", lead).withColumn("a", _treated(F.col("text"), rules)).withColumn("b", F.when(F.col("lead") != "", _treated(rest, rules)).otherwise(F.col("a")))
+    # a large book's paragraphs are dealt to all tasks, since windows have brought them together
+    dealt = paragraphs.repartition("book_id", "para_no")
+    both = dealt.withColumn("lead", lead).withColumn("a", _treated(F.col("text"), rules)).withColumn("b", F.when(F.col("lead") != "", _treated(rest, rules)).otherwise(F.col("a")))
     first = F.min(F.when(F.col("a.glued.line") != "", F.col("para_no"))).over(Window.partitionBy("book_id"))
     later = both.withColumn("later", F.coalesce(F.col("para_no") > first, F.lit(False)))
     chosen = later.withColumn("one", F.when(F.col("later"), F.col("b")).otherwise(F.col("a")))
